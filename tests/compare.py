@@ -1,0 +1,97 @@
+"""Run registered queries on Spark and their SQL on DuckDB, and compare the rows.
+
+python tests/compare.py SF_DIR [query ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else repr(value)
+    return None if value is None else str(value)
+
+
+def _rows(columns: list[str], rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    return sorted(df.columns), _rows(df.columns, df.collect())
+
+
+def duckdb_rows(con, sql: str) -> tuple[list[str], Counter]:
+    cursor = con.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    return sorted(columns), _rows(columns, cursor.fetchall())
+
+
+def differences(spark_result, duckdb_result) -> str | None:
+    if spark_result[0] != duckdb_result[0]:
+        return f"columns {spark_result[0]} != {duckdb_result[0]}"
+    extra = spark_result[1] - duckdb_result[1]
+    missing = duckdb_result[1] - spark_result[1]
+    if not extra and not missing:
+        return None
+    return (
+        f"{sum(extra.values())} extra, {sum(missing.values())} missing; "
+        f"spark {list(extra.elements())[:2]} duckdb {list(missing.elements())[:2]}"
+    )
+
+
+def main() -> None:
+    import __spark_entry__ as contract
+    from tradewatch.session import build_session
+
+    sf_dir, wanted = sys.argv[1], sys.argv[2:]
+    spark = build_session(
+        master="local[8]", shuffle_partitions=8, conf={"spark.ui.enabled": "false"}
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    oracles = contract.oracle_sql()
+    failed = 0
+    for name, run in contract.queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            result = spark_rows(run(spark, sf_dir))
+            took = time.time() - start
+            rows = sum(result[1].values())
+            if name in oracles:
+                problem = differences(result, duckdb_rows(con, oracles[name]))
+            else:
+                problem = None
+        except Exception as error:
+            problem, rows, took = str(error).splitlines()[0][:600], -1, time.time() - start
+        failed += problem is not None
+        print(f"{'ok ' if problem is None else 'BAD'} {name:30s} {rows:8d} rows {took:6.1f}s {problem or ''}", flush=True)
+    print("failed:", failed)
+
+
+if __name__ == "__main__":
+    main()

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def to_number(text: Column) -> Column:
-    """DOUBLE from text; anything that is not a plain decimal number becomes NULL."""
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+def to_number(df: DataFrame, name: str) -> Column:
+    """A column as DOUBLE; text that is not a plain decimal number becomes NULL."""
+    value = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return value.cast("double")
+    return F.when(value.rlike(DECIMAL_TEXT), value.try_cast("double"))
 
 
 def round_half_even(value: Column, digits: int) -> Column:

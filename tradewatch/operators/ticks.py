@@ -84,8 +84,10 @@ def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 3_6
         .unionByName(order_rows.select("symbol", bucket, "at_ms", "placed"), allowMissingColumns=True)
     )
     # An opening row has no time and sorts first; at equal times ticks come before orders.
-    in_order = Window.partitionBy("symbol", "bucket").orderBy(
-        F.col("at_ms").asc_nulls_first(), F.col("tick").asc_nulls_last()
+    in_order = (
+        Window.partitionBy("symbol", "bucket")
+        .orderBy(F.col("at_ms").asc_nulls_first(), F.col("tick").asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         rows.withColumn("last", F.last("tick", ignorenulls=True).over(in_order))

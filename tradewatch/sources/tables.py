@@ -26,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
+    # A stream takes a folder or a pattern; the braces let the table be either file or folder.
+    return spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/{{events.parquet}}")
 
 
 def symbol_at(index: Column) -> Column:
@@ -137,6 +138,14 @@ def tick_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def market_ticks(events: DataFrame) -> DataFrame:
+    """The same ticks under their normalised names."""
+    return tick_feed(events).select(
+        F.col("s").alias("symbol"), F.col("p").alias("price"), F.col("v").alias("volume"),
+        F.col("t").alias("timestamp_ms"),
+    )
+
+
 def tick_messages(events: DataFrame) -> DataFrame:
     """A message per tick, holding up to two more prints after it; every seventh is a ping."""
     prints = F.transform(
