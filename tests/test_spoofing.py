@@ -1,0 +1,59 @@
+from datetime import timedelta
+
+from conftest import START
+from pyspark.sql import functions as F
+
+from tradewatch.operators.spoofing import cancel_windows, spoofing_alerts
+
+
+def alerts(orders):
+    return spoofing_alerts(orders, detected_at=F.col("window_end")).collect()
+
+
+def burst(trader, status, count, at=0, **extra):
+    return [(trader, status, at, extra)] * count
+
+
+def test_ten_cancels_are_too_few(make_orders):
+    assert alerts(make_orders(*burst("t", "CANCELLED", 10))) == []
+
+
+def test_eleven_cancels_alert_in_each_of_four_windows(make_orders):
+    found = alerts(make_orders(*burst("t", "CANCELLED", 11)))
+    assert len(found) == 4
+    assert {(r.cancel_count, r.total_orders, r.cancel_rate) for r in found} == {(11, 11, 1.0)}
+
+
+def test_rate_of_exactly_the_threshold_does_not_alert(make_orders):
+    events = burst("t", "CANCELLED", 12) + burst("t", "FILLED", 3)
+    assert alerts(make_orders(*events)) == []
+
+
+def test_rate_above_the_threshold_alerts(make_orders):
+    events = burst("t", "CANCELLED", 13) + burst("t", "FILLED", 3)
+    assert {r.cancel_rate for r in alerts(make_orders(*events))} == {0.8125}
+
+
+def test_open_orders_do_not_count(make_orders):
+    events = burst("t", "CANCELLED", 11) + burst("t", "NEW", 100)
+    assert {r.total_orders for r in alerts(make_orders(*events))} == {11}
+
+
+def test_symbols_are_counted_apart(make_orders):
+    events = burst("t", "CANCELLED", 6) + burst("t", "CANCELLED", 6, symbol="TSLA")
+    assert alerts(make_orders(*events)) == []
+
+
+def test_only_open_orders_give_no_window(make_orders):
+    assert cancel_windows(make_orders(*burst("t", "NEW", 5))).collect() == []
+
+
+def test_overlapping_windows_alert_separately(make_orders):
+    found = alerts(make_orders(*[("t", "CANCELLED", i) for i in range(12)]))
+    starts = sorted(r.window_start for r in found)
+    assert starts == [START + timedelta(seconds=s) for s in (-90, -60, -30, 0)]
+
+
+def test_every_event_falls_in_exactly_four_windows(make_orders):
+    orders = make_orders(*[("t", "FILLED", 7 * i) for i in range(200)])
+    assert cancel_windows(orders).agg(F.sum("total_orders")).first()[0] == 4 * 200

@@ -14,12 +14,13 @@ STOCK_TOPIC = "market-data-stocks"
 
 def flatten_ticks(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """One row per print of every trade message; other messages and empty ones leave nothing."""
-    parsed = messages.select(F.from_json("value", schemas.TICK_MESSAGE).alias("m"))
+    # Parsed in a generator so that the filter below does not parse each message again.
+    parsed = messages.select(F.inline(F.array(F.from_json("value", schemas.TICK_MESSAGE))))
     tick = F.col("tick")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     return (
-        parsed.where(F.col("m.type") == "trade")
-        .select(F.explode("m.data").alias("tick"))
+        parsed.where(F.col("type") == "trade")
+        .select(F.explode("data").alias("tick"))
         .select(
             F.lit("market_tick").alias("event_type"),
             tick["s"].alias("symbol"),

@@ -22,28 +22,30 @@ def _as_text(schema: T.StructType) -> T.StructType:
     )
 
 
-def _typed(field: T.StructField) -> Column:
-    value = F.col(f"_msg.{field.name}")
-    if isinstance(field.dataType, (T.StringType, T.ArrayType)):
-        return value
-    return value.try_cast(field.dataType).alias(field.name)
-
+def _fields(raw: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+    """The message's fields as text columns.
 
-def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    The parse sits in a generator, so it runs once per message; as a plain expression it would
+    be repeated by every filter and projection that is pushed down onto it.
+    """
     message = F.from_json("value", _as_text(schema), {"mode": "PERMISSIVE"})
-    return raw.withColumn("_msg", message)
+    return raw.select(*keep, F.inline(F.array(message)))
 
 
 def _readable(schema: T.StructType) -> Column:
     """False for text that is not a JSON object; one bad field does not make it unreadable."""
-    return reduce(
-        lambda a, b: a | b, [F.col(f"_msg.{name}").isNotNull() for name in schema.fieldNames()]
-    )
+    return reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in schema.fieldNames()])
+
+
+def _typed(field: T.StructField) -> Column:
+    if isinstance(field.dataType, (T.StringType, T.ArrayType)):
+        return F.col(field.name)
+    return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
 
 def parse_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns of every readable message; unreadable ones are skipped, bad fields are NULL."""
-    return _parsed(raw, schema).where(_readable(schema)).select(*[_typed(f) for f in schema])
+    return _fields(raw, schema).where(_readable(schema)).select(*[_typed(f) for f in schema])
 
 
 def with_event_time(orders: DataFrame) -> DataFrame:
@@ -61,15 +63,12 @@ def parse_alerts(raw: DataFrame) -> DataFrame:
 
 def malformed_orders(raw: DataFrame) -> DataFrame:
     """Messages the detectors cannot use, with the reason; the quarantine side of parse_orders."""
-    no_time = times.event_time(F.col("_msg.timestamp")).isNull()
+    reason = F.when(~_readable(schemas.ORDER), "unparsable message").when(
+        times.event_time(F.col("timestamp")).isNull(), "unparsable event time"
+    )
     return (
-        _parsed(raw, schemas.ORDER)
-        .withColumn(
-            "reason",
-            F.when(~_readable(schemas.ORDER), "unparsable message").when(
-                no_time, "unparsable event time"
-            ),
-        )
+        _fields(raw, schemas.ORDER, *raw.columns)
+        .withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
-        .drop("_msg")
+        .select(*raw.columns, "reason")
     )
