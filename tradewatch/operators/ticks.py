@@ -61,7 +61,7 @@ def latest_tick_per_symbol(ticks: DataFrame) -> DataFrame:
     )
 
 
-def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
+def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 300_000) -> DataFrame:
     """Each order with the latest tick of its symbol at or before it.
 
     A window over whole symbols would put a busy symbol into one task. Both inputs are cut into
