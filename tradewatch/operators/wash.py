@@ -14,6 +14,10 @@ from tradewatch.params import WashParams
 
 BUY, SELL = "buy", "sell"
 
+# Width of a cell in tolerances. A wider cell holds more pairs that cannot match, a narrower one
+# costs more copies of each sell: a sell is copied 1 + 2/width times per dimension.
+CELL_WIDTH = 4
+
 
 def _size_reach(tolerance: float) -> float | None:
     """Greatest gap of log sizes whose midpoint deviation stays within the tolerance.
@@ -28,7 +32,7 @@ def _size_reach(tolerance: float) -> float | None:
 
 def _time_cells(side: str, params: WashParams) -> Column:
     gap = params.match_gap_sec
-    width = max(2 * gap, 1)
+    width = max(CELL_WIDTH * gap, 1)
 
     def cell(at: Column) -> Column:
         return F.floor(at / F.lit(width)).cast("bigint")
@@ -43,7 +47,7 @@ def _size_cells(side: str, params: WashParams) -> Column:
         return F.array(F.lit(0).cast("bigint"))
 
     def cell(log_size: Column) -> Column:
-        return F.floor(log_size / F.lit(2 * reach)).cast("bigint")
+        return F.floor(log_size / F.lit(CELL_WIDTH * reach)).cast("bigint")
 
     size = F.when(F.col("quantity") > 0, F.ln(F.col("quantity").cast("double")))
     return F.array(cell(size)) if side == BUY else F.sequence(cell(size - reach), cell(size + reach))
@@ -77,9 +81,8 @@ def _match(buys: DataFrame, sells: DataFrame, params: WashParams) -> DataFrame:
     """Join legs of one symbol and window that differ in trader and agree in price, size and time.
 
     A busy symbol would make window and symbol alone a quadratic key. Time and size are cut into
-    cells twice as wide as their tolerance: a buy lies in one cell, a sell is copied to the (at
-    most two by two) cells within its reach, so each pair meets in exactly one cell and a cell
-    holds little beyond what really matches. The exact conditions stay in the join.
+    cells a few tolerances wide: a buy lies in one cell, a sell is copied to the cells within its
+    reach, so each pair meets in exactly one cell. The exact conditions stay in the join.
     """
     b = _placed_in_cells(buys, BUY, params).alias("b")
     s = _placed_in_cells(sells, SELL, params).alias("s")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,11 @@ def build_session(
     return prepare(builder.getOrCreate())
 
 
+@lru_cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tradewatch-")
+
+
 def working_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach, below the cluster's spark.checkpoint.dir.
 
@@ -63,6 +69,5 @@ def working_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="tradewatch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
