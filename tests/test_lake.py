@@ -156,3 +156,10 @@ def test_alert_summary_counts_an_alert_once(spark):
     found = {r.alert_type: r for r in lake_gold.alert_summary(spark.createDataFrame(rows, ddl)).collect()}
     assert tuple(found["WASH_TRADING"])[1:] == (2, 3, None)
     assert tuple(found["SPOOFING"])[1:] == (3, 1, 0.95)
+
+
+def test_merged_trades_keep_one_row_per_trade(spark):
+    ddl = "trade_id string, price double, quantity bigint, timestamp string"
+    rows = [("1", 1.0, 1, "2024-01-01T10:00:00Z"), ("1", 2.0, 2, "2024-01-01T11:00:00Z"), ("1", 1.0, 1, "2024-01-01T10:00:00Z")]
+    (kept,) = lake_silver.merge_silver_trades(spark.createDataFrame(rows, ddl)).collect()
+    assert (kept.price, kept.quantity) == (2.0, 2)

@@ -125,3 +125,12 @@ def test_profiles_and_scorecard(alerts, spark):
     assert (s.true_positives, s.false_positives, s.false_negatives, s.true_negatives) == (1, 1, 1, 0)
     assert (s.precision, s.recall) == (0.5, 0.5)
     assert card["WASH_TRADING"].precision is None
+
+
+def test_display_orders(spark):
+    risk = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "trader_id string, total_alerts bigint")
+    assert [r.trader_id for r in serving.ranked_risk(risk).collect()] == ["b", "c", "a"]
+    assets = spark.createDataFrame([("A", "x", 1), ("B", "x", 2)], "symbol string, alert_type string, alert_count bigint")
+    assert [r.symbol for r in serving.ranked_assets(assets).collect()] == ["B", "A"]
+    days = spark.createDataFrame([("2024-01-01", "x"), ("2024-01-02", "y"), ("2024-01-02", "x")], "alert_date string, alert_type string")
+    assert [tuple(r) for r in serving.newest_days(days).collect()] == [("2024-01-02", "x"), ("2024-01-02", "y"), ("2024-01-01", "x")]

@@ -75,12 +75,12 @@ def landing(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def orders(spark: SparkSession, args: argparse.Namespace) -> None:
-    writer = lake.order_cycle_writer(spark, lake.Lake(args.lake))
+    writer = lake.order_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
 def trades(spark: SparkSession, args: argparse.Namespace) -> None:
-    writer = lake.trade_cycle_writer(spark, lake.Lake(args.lake))
+    writer = lake.trade_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
@@ -133,6 +133,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--out", help="output folder")
     parser.add_argument("--checkpoint", help="checkpoint folder of a detector")
     parser.add_argument("--lake", help="root folder of the lake")
+    parser.add_argument("--max-files", type=int, help="raw files per cycle")
     parser.add_argument("--date", help="landing date, yyyy-MM-dd")
     parser.add_argument("--prefix", default="", help="prefix of the layer schemas")
     parser.add_argument("--location", help="folder of the layer schemas")

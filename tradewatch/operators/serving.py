@@ -178,3 +178,18 @@ def activity_cards(activity: DataFrame) -> DataFrame:
         display.fixed(F.col("avg_order_size"), 1).alias("avg_order_size"),
         display.fixed(F.col("avg_time_to_cancel"), 0, "s").alias("avg_time_to_cancel"),
     )
+
+
+def ranked_risk(summary: DataFrame) -> DataFrame:
+    """The trader risk table as displayed, most alerts first."""
+    return summary.orderBy(F.desc("total_alerts"), "trader_id")
+
+
+def ranked_assets(activity: DataFrame) -> DataFrame:
+    """The asset activity table as displayed, most alerts first."""
+    return activity.orderBy(F.desc("alert_count"), "symbol", "alert_type")
+
+
+def newest_days(metrics: DataFrame) -> DataFrame:
+    """The daily metrics table as displayed, newest day first."""
+    return metrics.orderBy(F.desc("alert_date"), "alert_type")

@@ -70,7 +70,8 @@ def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 300
     symbol's whole history grows with time and not with the number of orders or ticks.
     """
     bucket = F.floor(F.col("at_ms") / F.lit(bucket_ms)).alias("bucket")
-    tick_rows = valid_ticks(ticks).select(
+    timed_ticks = valid_ticks(ticks).where(F.col("timestamp_ms").isNotNull())
+    tick_rows = timed_ticks.select(
         "symbol", F.col("timestamp_ms").alias("at_ms"), F.struct("timestamp_ms", "price").alias("tick")
     )
     order_rows = orders.select(

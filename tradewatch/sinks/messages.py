@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from tradewatch.operators.cases import alert_case_rows
+
 
 def write_topic(messages: DataFrame, servers: str) -> None:
     """Publish a batch of messages with topic, key and value columns."""
@@ -36,3 +38,16 @@ def write_cases(cases: DataFrame, url: str, table: str = "alerts", **options: st
     The case id is a digest of the alert, so a unique index on it rejects a replayed batch.
     """
     cases.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+
+
+def case_writer(alerts: DataFrame, url: str, checkpoint: str, **options: str) -> DataStreamWriter:
+    """Open a case for every alert of a stream."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_cases(alert_case_rows(batch), url, **options)
+
+    return (
+        alerts.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )

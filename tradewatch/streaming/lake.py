@@ -63,12 +63,15 @@ def landing_writer(messages: DataFrame, lake: Lake, landed_at: Column | None = N
     )
 
 
-def order_cycle_writer(spark: SparkSession, lake: Lake) -> DataStreamWriter:
+def order_cycle_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
     """Clean newly landed orders, append them, and renew the aggregates of the dates they touch.
 
     The dates are observed while the rows are written: a few calendar days, however many rows.
+    max_files splits a large backlog into several cycles.
     """
-    new_lines = source.bronze_stream(spark, lake.bronze, "orders")
+    new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
 
     def cycle(lines: DataFrame, batch_id: int) -> None:
         orders = lake_silver.silver_orders(
@@ -87,13 +90,17 @@ def order_cycle_writer(spark: SparkSession, lake: Lake) -> DataStreamWriter:
     )
 
 
-def trade_cycle_writer(spark: SparkSession, lake: Lake) -> DataStreamWriter:
+def trade_cycle_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
+    """Clean newly landed trades and append them; readers merge repeats across cycles."""
+
     def cycle(lines: DataFrame, batch_id: int) -> None:
         trades = lake_silver.silver_trades(parse_messages(lines, schemas.RAW_TRADE))
         append_dated(trades, lake.silver("trades"))
 
     return (
-        source.bronze_stream(spark, lake.bronze, "trades")
+        source.bronze_stream(spark, lake.bronze, "trades", max_files)
         .writeStream.foreachBatch(cycle)
         .option("checkpointLocation", lake.checkpoint("trades"))
         .outputMode("update")
