@@ -23,6 +23,16 @@ def per_involved_trader(alerts: DataFrame, *columns: str) -> DataFrame:
     """One row per alert and trader named in it, from a single pass over the alerts."""
     ids = F.array(*[F.col(name) for name in ID_COLUMNS])
     return alerts.select(
-        F.explode(F.array_compact(ids)).alias("trader_id"),
-        *[F.col(name) for name in columns],
-    )
+        F.explode(ids).alias("trader_id"), *[F.col(name) for name in columns]
+    ).where(F.col("trader_id").isNotNull())
+
+
+def per_role(alerts: DataFrame, *columns: str) -> DataFrame:
+    """One row per alert and trader role, filled or not; `first` marks one row of each alert.
+
+    Alerts and their distinct traders can so be counted in one aggregation.
+    """
+    ids = F.array(*[F.col(name) for name in ID_COLUMNS])
+    return alerts.select(
+        F.posexplode(ids).alias("place", "trader"), *[F.col(name) for name in columns]
+    ).withColumn("first", F.col("place") == 0)

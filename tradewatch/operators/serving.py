@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions import display, severity
-from tradewatch.functions.traders import ID_COLUMNS, per_involved_trader
+from tradewatch.functions.traders import ID_COLUMNS, per_involved_trader, per_role
 from tradewatch.operators.alerts import conform
 from tradewatch.params import ServingParams
 
@@ -32,10 +32,8 @@ def _newest(alerts: DataFrame, limit: int) -> DataFrame:
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:
     """Headline row: alerts, alerts by type, distinct traders."""
-    ids = F.array_compact(F.array(*[F.col(name) for name in ID_COLUMNS]))
-    named = conform(alerts).select("alert_type", F.posexplode_outer(ids).alias("place", "trader"))
-    first = F.coalesce(F.col("place"), F.lit(0)) == 0
-    return named.agg(
+    first = F.col("first")
+    return per_role(conform(alerts), "alert_type").agg(
         F.count_if(first).alias("total_alerts"),
         F.count_if(first & (F.col("alert_type") == "SPOOFING")).alias("spoofing_alerts"),
         F.count_if(first & (F.col("alert_type") == "WASH_TRADING")).alias("wash_alerts"),
@@ -86,11 +84,12 @@ def high_risk_traders(alerts: DataFrame, params: ServingParams = ServingParams()
     ids = F.when(spoofing, F.array("trader_id")).when(wash, F.array("trader_id_1", "trader_id_2"))
     return (
         known.select(
-            F.explode(F.array_compact(ids)).alias("trader_id"),
+            F.explode(ids).alias("trader_id"),
             "alert_type",
             "detected_at",
             F.when(spoofing, F.col("cancel_rate")).alias("rate"),
         )
+        .where(F.col("trader_id").isNotNull())
         .groupBy("trader_id")
         .agg(
             F.count(F.lit(1)).alias("alert_count"),

@@ -122,9 +122,10 @@ def raw_order_feed(events: DataFrame) -> DataFrame:
         F.when((number % 97 == 0) & terminal, text),
         F.when((number % 101 == 0) & ~terminal, F.lit("{bad json")),
     )
-    return order_feed(events).select(
-        F.lit("orders").alias("topic"), F.explode(F.array_compact(lines)).alias("value")
+    messages = order_feed(events).select(
+        F.lit("orders").alias("topic"), F.explode(lines).alias("value")
     )
+    return messages.where(F.col("value").isNotNull())
 
 
 def tick_feed(events: DataFrame) -> DataFrame:
