@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import quality, simhash
+from tradewatch.llm import bpe, decontam, pii, quality, simhash
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,31 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and discovered spans of personal data of every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text they decode to."""
+    return bpe.digests(spark, table(spark, sf_dir, "documents"), bpe.default_path())
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a copy of a benchmark item, with the item and the place."""
+    found = decontam.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "score", "start", "end")
