@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, pii, quality, simhash
+from tradewatch.llm import bpe, decontam, pii, quality, sharding, simhash, urls
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,68 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return found.select("doc_id", "item_id", "score", "start", "end")
+
+
+@query
+def op1_kk_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of nearly equal bytes, equal texts together."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# Hosts with one of these labels make up the list of canonical URLs.
+LISTED_HOSTS = r"(?:^|\.)(?:casino-win|cheap-pills|free-bets|ads-track)\."
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page; listed are all canonical URLs of known unwanted hosts."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.filter(urls.host(F.col("url")).rlike(LISTED_HOSTS)).select(
+        urls.canonical(F.col("url")).alias("canonical")
+    )
+    return urls.judge(pages, listed)
+
+
+ORACLES["op6_url_filter"] = rf"""
+WITH cut AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3), '') AS query
+  FROM pages
+), named AS (
+  SELECT page_id, host, path,
+    CASE WHEN n <> '' THEN n || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+  FROM (
+    SELECT *, regexp_replace(regexp_replace(host, '^www\.', ''), ':(?:80|443)$', '') AS n,
+      list_sort(list_filter(string_split(query, '&'),
+        lambda p: p <> '' AND NOT regexp_matches(p, '^(?:utm_[a-z]+|ref)(?:=|$)'))) AS kept
+    FROM cut)
+), listed AS (
+  SELECT DISTINCT canonical FROM named
+  WHERE canonical IS NOT NULL AND regexp_matches(host, '{LISTED_HOSTS}')
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM named
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
