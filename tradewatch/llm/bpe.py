@@ -7,9 +7,9 @@ arc between two tokens therefore exists if the arcs of their parts existed when
 was made and no merge has taken it out since; compiling keeps, for each state, its gadget (parts and
 time), and transitions are entered in a table when they are first taken.
 
-Encoding a word walks its prefixes: a dictionary automaton names the tokens that end at each byte,
-and the transition table tells which of them may follow the token before; exactly one may. Decoding
-emits the labels of the arcs. Words come from the pre-split pattern of the vocabulary file's format.
+Encoding a word walks the automaton: of the labels that go on in the word the longest is tried first,
+the transition table tells whether its arc exists, and ends that lead nowhere are closed; exactly one
+path spells the word. Decoding emits the labels of the arcs. Words come from the pre-split pattern of the vocabulary file's format.
 
 Defined results: a null text is an empty text, which has no tokens; the text of a special token is
 that token, as in the public library; ids that are null or unknown are left out when decoding, and
@@ -20,19 +20,21 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator
 from pathlib import Path
 from typing import NamedTuple
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the pre-split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORDS_KEPT = 200_000  # words, and as many transitions, that a task remembers twice over
+KEPT = 150_000  # words, pieces and transitions that a task remembers, each twice over at most
+SLICE_ROWS = 256  # rows whose ids a task holds at once
 NEVER = 1 << 30
 
 
@@ -115,13 +117,14 @@ class Automaton:
                 self.born[number] = -1
         for time, (left, right, number) in enumerate(vocabulary.merges):
             self._gadget(time, left, right, number)
-        self.finder = ahocorasick.Automaton()
-        for number in self.born:
-            label = self.labels[number]
-            self.finder.add_word(label.decode("latin-1"), (len(label), number))
-        self.finder.make_automaton()
-        self.arcs = _Recent(self._arc, WORDS_KEPT)
-        self.words = _Recent(self._word, WORDS_KEPT)
+        self.ids = {self.labels[number]: number for number in self.born}
+        # Longest label with given first bytes: no longer one need be looked up.
+        self.reach: dict[bytes, int] = {}
+        for label in self.ids:
+            self.reach[label[:3]] = max(self.reach.get(label[:3], 0), len(label))
+        self.arcs = _Recent(self._arc, KEPT)
+        self.words = _Recent(self._word, KEPT)
+        self.pieces = _Recent(self._piece, KEPT)
         self.plain = regex.compile(PATTERN).findall
         later = _later_letters()
         self.later = regex.compile(later).search
@@ -158,21 +161,36 @@ class Automaton:
         return self._open(pair >> 20, pair & 0xFFFFF, NEVER)
 
     def _word(self, word: str) -> bytes:
-        """Ids of one pre-split word as int32."""
+        """Ids of one pre-split word as int32.
+
+        Walks the automaton from the word's start by the longest label with an arc. A prefix has
+        one path only, so an end from which the walk cannot go on is closed for good.
+        """
         data = word.encode()
-        last = [-1] * (len(data) + 1)
-        arcs = self.arcs
-        for end, (length, token) in self.finder.iter(data.decode("latin-1")):
-            end += 1
-            if last[end] < 0:
-                before = end - length
-                if not before or (last[before] >= 0 and arcs[last[before] << 20 | token]):
-                    last[end] = token
-        ids, end = [], len(data)
-        while end:
-            ids.append(last[end])
-            end -= len(self.labels[last[end]])
-        return np.array(ids[::-1], np.int32).tobytes()
+        ids, arcs, reach, n = self.ids, self.arcs, self.reach, len(data)
+        whole = ids.get(data)
+        if whole is not None:
+            return whole.to_bytes(4, "little")
+        path: list[int] = []
+        closed: set[int] = set()
+        at, length = 0, min(n, reach.get(data[:3], 2))
+        while at < n:
+            while length:
+                token = ids.get(data[at : at + length])
+                if token is not None and at + length not in closed:
+                    if not path or arcs[path[-1] << 20 | token]:
+                        break
+                length -= 1
+            if length:
+                path.append(token)
+                at += length
+                length = min(n - at, reach.get(data[at : at + 3], 2))
+            else:
+                closed.add(at)
+                length = len(self.labels[path.pop()])
+                at -= length
+                length -= 1
+        return np.array(path, "<i4").tobytes()
 
     def split(self, text: str) -> list[str]:
         """The pre-split words of a text."""
@@ -180,23 +198,39 @@ class Automaton:
             return self.plain(text)
         return self.careful(text)
 
+    def _piece(self, piece: str) -> bytes | None:
+        """Ids of a space and the piece after it; None if more white space is next to the space."""
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        return b"".join([self.words[w] for w in self.split(" " + piece)])
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        first, *rest = text.split(" ")
+        if rest and first and not first[-1].isspace():
+            # A lone space between words begins a word of the pattern, so pieces split alone.
+            start = b"".join([self.words[w] for w in self.split(first)])
+            ids = [self.pieces[piece] for piece in rest]
+            if None not in ids:
+                return start + b"".join(ids)
+        return b"".join([self.words[w] for w in self.split(text)])
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
-        words = self.words
         if not any(mark in text for mark in self.special):
-            return np.frombuffer(b"".join([words[w] for w in self.split(text)]), np.int32)
+            return np.frombuffer(self._plain(text), np.int32)
         out = []
         for part in self.cut.split(text):
             if part in self.special:
                 out.append(np.array([self.special[part]], np.int32).tobytes())
             else:
-                out += [words[w] for w in self.split(part)]
+                out.append(self._plain(part))
         return np.frombuffer(b"".join(out), np.int32)
 
-    def decode(self, ids) -> str:
-        """The text that the labels of the ids spell."""
-        label = self.labels.get
-        return b"".join([label(i, b"") for i in ids]).decode("utf-8", "replace")
+
+def spell(labels: dict[int, bytes], ids) -> str:
+    """The text that the labels of the ids spell."""
+    return b"".join([labels.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
 _compiled: dict[int, Automaton] = {}
@@ -210,6 +244,12 @@ def compiled(vocabulary: Vocabulary) -> Automaton:
     return _compiled[key]
 
 
+def _id_lists(found: list[np.ndarray]) -> pa.Array:
+    offset = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(f) for f in found], out=offset[1:])
+    return pa.ListArray.from_arrays(pa.array(offset), pa.array(np.concatenate([_NONE, *found])))
+
+
 class Codec:
     """Encodes and decodes columns. The vocabulary (about a megabyte) is broadcast."""
 
@@ -223,11 +263,7 @@ class Codec:
         @F.arrow_udf("array<int>")
         def ids_of(texts: pa.Array) -> pa.Array:
             automaton = compiled(sent.value)
-            found = [automaton.encode(t.as_py()) if t.is_valid else _NONE for t in texts]
-            offset = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(f) for f in found], out=offset[1:])
-            flat = np.concatenate([_NONE, *found])
-            return pa.ListArray.from_arrays(pa.array(offset), pa.array(flat))
+            return _id_lists([automaton.encode(t.as_py() or "") for t in texts])
 
         # So marked, it runs once per row even if its result is used several times.
         return docs.withColumn(into, ids_of.asNondeterministic()(F.col(text)))
@@ -238,14 +274,36 @@ class Codec:
 
         @F.arrow_udf("string")
         def text_of(arrays: pa.Array) -> pa.Array:
-            automaton = compiled(sent.value)
+            labels = sent.value.labels
             return pa.array(
-                [automaton.decode(a.values.to_pylist()) if a.is_valid else None for a in arrays],
+                [spell(labels, a.values.to_pylist()) if a.is_valid else None for a in arrays],
                 pa.string(),
             )
 
         return docs.withColumn(into, text_of(F.col(ids)))
 
+    def round_trip(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """Replace a text column by ids and decoded, in one pass with few rows in memory."""
+        sent = self._sent
+        others = [c for c in docs.columns if c != text]
+
+        def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = compiled(sent.value)
+            for batch in batches:
+                for low in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(low, SLICE_ROWS)
+                    found = [automaton.encode(t.as_py() or "") for t in part.column(text)]
+                    decoded = [spell(automaton.labels, ids.tolist()) for ids in found]
+                    yield pa.record_batch(
+                        [*[part.column(c) for c in others], _id_lists(found), pa.array(decoded, pa.string())],
+                        names=[*others, "ids", "decoded"],
+                    )
+
+        kept = docs.select(*others).schema
+        schema = T.StructType(kept.fields).add("ids", T.ArrayType(T.IntegerType()))
+        schema = schema.add("decoded", T.StringType())
+        return docs.mapInArrow(both, schema)
+
 
 _NONE = np.zeros(0, np.int32)
 
@@ -259,8 +317,7 @@ def default_path() -> str:
 
 def digests(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the decoded text."""
-    codec = Codec(spark, path)
-    both = codec.decode(codec.encode(docs.select("doc_id", "text")).drop("text"))
+    both = Codec(spark, path).round_trip(docs.select("doc_id", "text"))
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, pii, quality, sharding, simhash, urls
+from tradewatch.llm import bpe, decontam, neighbours, pii, quality, sharding, simhash, urls
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +138,9 @@ SELECT page_id, host, path, rule,
     WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+
+@query
+def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
