@@ -118,10 +118,10 @@ class Automaton:
         for time, (left, right, number) in enumerate(vocabulary.merges):
             self._gadget(time, left, right, number)
         self.ids = {self.labels[number]: number for number in self.born}
-        # Longest label with given first bytes: no longer one need be looked up.
+        # Longest label with given first four bytes: no longer one need be looked up.
         self.reach: dict[bytes, int] = {}
         for label in self.ids:
-            self.reach[label[:3]] = max(self.reach.get(label[:3], 0), len(label))
+            self.reach[label[:4]] = max(self.reach.get(label[:4], 0), len(label))
         self.arcs = _Recent(self._arc, KEPT)
         self.words = _Recent(self._word, KEPT)
         self.pieces = _Recent(self._piece, KEPT)
@@ -173,7 +173,7 @@ class Automaton:
             return whole.to_bytes(4, "little")
         path: list[int] = []
         closed: set[int] = set()
-        at, length = 0, min(n, reach.get(data[:3], 2))
+        at, length = 0, min(n, reach.get(data[:4], 3))
         while at < n:
             while length:
                 token = ids.get(data[at : at + length])
@@ -184,7 +184,7 @@ class Automaton:
             if length:
                 path.append(token)
                 at += length
-                length = min(n - at, reach.get(data[at : at + 3], 2))
+                length = min(n - at, reach.get(data[at : at + 4], 3))
             else:
                 closed.add(at)
                 length = len(self.labels[path.pop()])
