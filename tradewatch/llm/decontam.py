@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.llm import words as W
+from tradewatch.llm.bits import bit_set, may_hold
 from tradewatch.llm.scratch import settle
 
 GRAM = 3
@@ -69,36 +70,16 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def gram_filter(grams: DataFrame) -> np.ndarray:
-    """A bit set of FILTER_BITS bits with those of all n-grams of column gram."""
-    bit = F.pmod("gram", F.lit(FILTER_BITS))
-    rows = (
-        grams.select(F.shiftright(bit, 5).cast("int").alias("at"), F.pmod(bit, F.lit(32)).alias("bit"))
-        .groupBy("at")
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").cast("int"))).alias("bits"))
-        .toArrow()
-    )
-    # At most FILTER_BITS / 32 rows.
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
-    return table
-
-
-def _may_hold(table: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    bit = (gram.view(np.int64) % FILTER_BITS).astype(np.uint32)
-    return (table[bit >> np.uint32(5)] >> (bit & np.uint32(31))) & np.uint32(1) != 0
-
-
 def document_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
     """(gram, df): in how many documents each n-gram of column gram is."""
-    sent = docs.sparkSession.sparkContext.broadcast(gram_filter(grams))
+    sent = docs.sparkSession.sparkContext.broadcast(bit_set(grams, F.col("gram"), FILTER_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch.column("text")):
                 found = W.hash_words(chunk, W.PLAIN)
                 first, gram = W.grams(found, GRAM)
-                hit = np.flatnonzero(_may_hold(sent.value, gram))
+                hit = np.flatnonzero(may_hold(sent.value, gram))
                 pairs = np.unique(np.stack([gram[hit].view(np.int64), found.row[first[hit]]], 1), axis=0)
                 value, n = np.unique(pairs[:, 0], return_counts=True)
                 yield pa.record_batch([pa.array(value), pa.array(n)], names=["gram", "n"])
@@ -128,7 +109,7 @@ def choose_seeds(items: DataFrame, docs: DataFrame) -> DataFrame:
 
 def passages(docs: DataFrame, seeds: DataFrame, longest: int) -> DataFrame:
     """Stretches of documents around seeds: passage (a row id), row, doc_id, text_key, start, words, grams."""
-    sent = docs.sparkSession.sparkContext.broadcast(gram_filter(seeds))
+    sent = docs.sparkSession.sparkContext.broadcast(bit_set(seeds, F.col("gram"), FILTER_BITS))
     reach = longest  # words; a copy of any item fits on either side of each of its seeds
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +117,7 @@ def passages(docs: DataFrame, seeds: DataFrame, longest: int) -> DataFrame:
             for chunk in W.chunks(batch.column("text")):
                 found = W.hash_words(chunk, W.PLAIN)
                 first, gram = W.grams(found, GRAM)
-                hit = np.flatnonzero(_may_hold(sent.value, gram))
+                hit = np.flatnonzero(may_hold(sent.value, gram))
                 if not len(hit):
                     continue
                 at, row = first[hit], found.row[first[hit]]

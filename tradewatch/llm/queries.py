@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, neighbours, pii, quality, sharding, simhash, urls
+from tradewatch.llm import bpe, decontam, neighbours, pii, quality, repeats, sharding, simhash, urls
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,9 @@ FROM ruled
 def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
     return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start earlier."""
+    return repeats.digests(table(spark, sf_dir, "documents"))
