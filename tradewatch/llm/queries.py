@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, neighbours, pii, quality, repeats, sharding, simhash, urls
+from tradewatch.llm import bpe, decontam, licences, neighbours, pii, quality, repeats, sharding, simhash, urls
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,16 @@ def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 100 bytes that start earlier."""
     return repeats.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its own or that of the nearest directory above it.
+
+    The table has no paths; documents are filed by source and language, a thousand to a directory.
+    """
+    docs = table(spark, sf_dir, "documents")
+    shelf = F.floor(F.col("doc_id") / 1000).cast("string")
+    path = F.concat_ws("/", "source", "lang", shelf, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = licences.scan(docs.withColumn("path", path))
+    return found.withColumn("cosine", F.round("cosine", 6))
