@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+
+from tradewatch.llm import repeats
+from tradewatch.llm.queries import QUERIES
+
+
+def brute(docs):
+    """Every window of every text in order; documents alike in id and text are one."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0, _digest(d[1]))):
+        data = (text or "").encode()
+        covered = np.zeros(len(data) + 2, int)
+        for i in range(len(data) - 99):
+            window = data[i : i + 100]
+            if window in seen:
+                covered[i + 1 : i + 101] = 1
+            seen.add(window)
+        kept = bytes(b for b, c in zip(data, covered[1:-1], strict=True) if not c)
+        out[doc_id, text] = (
+            len(data), int(covered.sum()), int((np.diff(covered) == 1).sum()),
+            hashlib.sha256(kept).hexdigest(),
+        )
+    return out
+
+
+def _digest(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def result(rows):
+    return [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in rows]
+
+
+@pytest.mark.parametrize("letters", [b"ab", b"a", b"abc\x00", bytes(range(256))])
+def test_suffix_array_is_in_order(letters):
+    rng = random.Random(letters)
+    for _ in range(60):
+        data = bytes(rng.choice(letters) for _ in range(rng.randint(1, 300)))
+        wanted = np.array([rng.random() < 0.6 for _ in data])
+        found = repeats.suffix_array(np.frombuffer(data, np.uint8), wanted, 100)
+        assert sorted(found) == np.flatnonzero(wanted).tolist()
+        keys = [data[i : i + 100] for i in found]
+        assert keys == sorted(keys)
+
+
+def test_query_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    expected = {i: v for (i, _), v in brute(docs).items()}
+    assert dict(result(QUERIES["op4_repeated_strings"](spark, SF_DIR).collect())) == expected
+
+
+def test_periodic_overlapping_and_shared_texts(make_docs):
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdef é\n") for _ in range(130))
+    docs = [(1, "x" * 450), (2, "ab" * 170), (3, "abc" * 40), (4, "\x00" * 120), (5, line)]
+    for i in range(6, 60):
+        noise = "".join(rng.choice("ghijkl ") for _ in range(rng.randint(0, 150)))
+        cut = rng.randint(0, 40)
+        docs.append((i, noise + line[cut : cut + rng.randint(60, 130)] + noise[::-1] + "x" * rng.randint(0, 120)))
+    for split in (1 << 14, 3):
+        rows = repeats.digests(make_docs(*docs), split).collect()
+        assert dict(result(rows)) == {i: v for (i, _), v in brute(docs).items()}
+
+
+def test_awkward_rows(awkward):
+    docs = [(r.doc_id, r.text) for r in awkward.collect()]
+    expected = brute(docs)
+    rows = result(repeats.digests(awkward).collect())
+    assert sorted(map(str, rows)) == sorted(str((i, expected[i, t])) for i, t in docs)
+
+
+def test_empty_table_and_short_texts(make_docs, empty):
+    assert repeats.digests(empty).count() == 0
+    rows = repeats.digests(make_docs((1, "short"), (2, "short"))).collect()
+    assert [r.n_removed for r in rows] == [0, 0]

@@ -1,0 +1,95 @@
+import random
+from collections import Counter
+
+import numpy as np
+import xxhash
+
+from tradewatch.llm import simhash
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    n = len(words)
+    shingles = [b" ".join(words[i : i + 3]) for i in range(n - 2)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def plain_components(fps):
+    parent = {f: f for f in fps}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    nodes = list(parent)
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if (a ^ b).bit_count() <= 3:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {f: root(f) for f in nodes}
+
+
+def cluster(seed, chains=6, singles=150):
+    """Fingerprints in chains of near ones, in one dense ball and alone."""
+    rng = random.Random(seed)
+    out = [rng.getrandbits(64) for _ in range(singles)]
+    for _ in range(chains):
+        at = rng.getrandbits(64)
+        for _ in range(12):
+            at ^= sum({1 << rng.randrange(64) for _ in range(rng.choice([1, 2, 3, 4]))})
+            out.append(at)
+    centre = rng.getrandbits(64)
+    out += [centre ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)]
+    return out
+
+
+def test_fingerprints_and_classes_of_awkward_rows(awkward):
+    rows = simhash.near_copies(awkward).collect()
+    assert len(rows) == awkward.count()
+    texts = awkward.select("doc_id", "text").collect()
+    expected = Counter((r.doc_id, plain_fingerprint(r.text)) for r in texts)
+    assert Counter((r.doc_id, r.fp % (1 << 64)) for r in rows) == expected
+    root = plain_components({f for _, f in expected})
+    first = {}
+    for doc_id, f in expected:
+        if doc_id is not None:
+            first[root[f]] = min(first.get(root[f], doc_id), doc_id)
+    assert {(r.doc_id, r.component_id) for r in rows} == {(i, first[root[f]]) for i, f in expected}
+
+
+def test_links_lose_no_component_whatever_the_block_size(spark):
+    for seed, block in ((1, 8192), (2, 16), (3, 5)):
+        fps = cluster(seed)
+        signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+        rows = spark.createDataFrame([(i, f) for i, f in enumerate(signed)], "doc_id long, fp long")
+        found = {r.fp: r.component_id for r in simhash.classes(rows, block).collect()}
+        root = plain_components(set(fps))
+        first = {}
+        for i, f in enumerate(fps):
+            first.setdefault(root[f], i)
+        assert found == {s: first[root[f]] for s, f in zip(signed, fps, strict=True)}
+
+
+def test_links_of_a_dense_group_are_few(spark):
+    centre = 0x0123456789ABCDEF
+    fps = [centre ^ (1 << a) for a in range(63)] + [centre]
+    rows = spark.createDataFrame([(f,) for f in fps], "fp long")
+    assert simhash.links(rows).count() < 64 * 67
+
+
+def test_one_row_of_each_class_stays(awkward):
+    kept = simhash.keep_one(awkward)
+    assert kept.columns == awkward.columns
+    rows = kept.collect()
+    classes = {r.component_id for r in simhash.near_copies(awkward).collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(classes)
+
+
+def test_empty_table(empty):
+    assert simhash.near_copies(empty).count() == 0
+    assert simhash.keep_one(empty).count() == 0

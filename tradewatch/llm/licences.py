@@ -3,8 +3,8 @@
 Every line of a text is a candidate header, and a whole short text a candidate licence file; each is
 a sparse TF-IDF vector that is compared with the vectors of the templates. Document frequencies of
 the templates' words are counted over all texts; other words weigh like words of one text, so a
-notice inside a long sentence scores lower than a notice alone. Only lines with two or more rare
-template words are compared, as no others can reach the threshold.
+notice inside a long sentence scores lower than a notice alone. Lines without a rare template word,
+one that at most a fifth of all texts hold, are no notices.
 
 A file that opens or closes with a notice, or is one as a whole, licenses its directory. Files
 without a licence of their own take that of the nearest directory above them that has one: the
@@ -126,7 +126,7 @@ def best_match(weights: Weights, unit: np.ndarray, hashes: np.ndarray, units: in
     at = _place(weights.terms, hashes)
     rare = np.zeros(len(weights.idf) + 1, bool)
     rare[:-1] = weights.rare
-    hot = np.bincount(unit, rare[at], units) >= 2
+    hot = np.bincount(unit, rare[at], units) > 0
     take = hot[unit]
     unit, at, hashes = unit[take], at[take], hashes[take]
     if not len(unit):
