@@ -30,7 +30,7 @@ from tradewatch.llm.scratch import settle
 K = 20
 QUERY_EVERY = 20
 SAMPLE_ROWS = 8192
-ROWS_PER_PART = 2048
+ROWS_PER_PART = 4096
 MAX_PARTS = 256
 GRAPH_DEGREE = 10
 WANTED_RECALL = 0.94
