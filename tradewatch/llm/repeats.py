@@ -136,7 +136,7 @@ def _found(name, doc, start, count, repeat) -> pa.RecordBatch:
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of name, content, doc and start: repeats, and firsts to compare.
+    """From rows in order of name, lane, content, doc and start: repeats, and firsts to compare.
 
     A row is a repeat if the row before has its name and content. The others are firsts; a first is
     to be compared if a neighbouring first has its name. The last first waits for the next one.
@@ -405,10 +405,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _repeats(rows: DataFrame, split_rows: int) -> DataFrame:
     """(doc, start, count): runs of windows of rows (doc, text) that are repeats."""
+    segmented = rows.mapInArrow(_segment_batches, _SEGMENT)
+    # Known repeats need no company; they are dealt out apart from the firsts of their name.
+    lane = F.when(F.col("again"), F.pmod(F.xxhash64("doc", "start"), F.lit(1 << 20))).otherwise(-1)
     found = settle(
-        rows.mapInArrow(_segment_batches, _SEGMENT)
-        .repartition("name")
-        .sortWithinPartitions("name", "content", "doc", "start")
+        segmented.withColumn("lane", lane)
+        .repartition("name", "lane")
+        .sortWithinPartitions("name", "lane", "content", "doc", "start")
+        .select(*segmented.columns)
         .mapInArrow(_classify, _FOUND)
     )
     open_ = found.filter("not repeat")
