@@ -33,6 +33,21 @@ def test_missing_column_is_refused(raw):
         lake_silver.silver_orders(raw({}).drop("status"))
 
 
+def test_numbers_beyond_any_whole_type_count_as_bad_text(raw):
+    rows = raw({"quantity": "1e30", "price": "1e300"}, {"order_id": "o2"}, {"order_id": "o3", "timestamp": "12:30"})
+    silver = lake_silver.silver_orders(rows)
+    found = {r.order_id: (r.price, r.quantity) for r in silver.collect()}
+    assert found == {"o1": (None, 0), "o2": (10.01, 5)}
+    (hour,) = lake_gold.asset_hourly_summary(silver).collect()
+    assert (hour.avg_price, hour.total_volume, hour.total_orders) == (10.01, 5, 2)
+
+
+def test_sums_beyond_a_long_are_null(raw):
+    rows = raw(*[{"order_id": str(i), "quantity": "9e18"} for i in range(3)])
+    (hour,) = lake_gold.asset_hourly_summary(lake_silver.silver_orders(rows)).collect()
+    assert hour.total_volume is None and hour.total_orders == 3
+
+
 def test_quantity_coercion(raw):
     rows = raw(*[{"order_id": str(i), "quantity": q} for i, q in enumerate(["abc", "7.9", None, "12"])])
     found = {r.order_id: r.quantity for r in lake_silver.silver_orders(rows).collect()}
@@ -159,7 +174,9 @@ def test_alert_summary_counts_an_alert_once(spark):
 
 
 def test_merged_trades_keep_one_row_per_trade(spark):
-    ddl = "trade_id string, price double, quantity bigint, timestamp string"
-    rows = [("1", 1.0, 1, "2024-01-01T10:00:00Z"), ("1", 2.0, 2, "2024-01-01T11:00:00Z"), ("1", 1.0, 1, "2024-01-01T10:00:00Z")]
-    (kept,) = lake_silver.merge_silver_trades(spark.createDataFrame(rows, ddl)).collect()
+    ddl = "trade_id string, price double, quantity bigint, timestamp string, at string"
+    at = "2024-01-01T10:00:00"
+    rows = [("1", 1.0, 1, f"{at}Z", f"{at}.1"), ("1", 2.0, 2, f"{at}Z", f"{at}.9"), ("1", 1.0, 1, f"{at}Z", f"{at}.1")]
+    timed = spark.createDataFrame(rows, ddl).withColumn("event_at", F.col("at").cast("timestamp"))
+    (kept,) = lake_silver.merge_silver_trades(timed.drop("at")).collect()
     assert (kept.price, kept.quantity) == (2.0, 2)

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -16,6 +17,9 @@ from tradewatch.streaming.lake import (
     Lake,
     landing_writer,
     order_cycle_writer,
+    current_orders,
+    quarantine_writer,
+    read_gold,
     rebuild_orders,
     refresh_alert_gold,
     trade_cycle_writer,
@@ -151,7 +155,7 @@ def lake(tmp_path):
 
 
 def gold(spark, lake, table, schema):
-    return sorted(read_dated(spark, lake.gold(table), schema).collect(), key=key)
+    return sorted(read_gold(spark, lake, table, schema).collect(), key=key)
 
 
 def expected_activity(spark, lake):
@@ -172,6 +176,69 @@ def test_order_over_two_cycles_is_settled_in_gold(spark, lake):
     assert row.asDict() == wanted.first().asDict()
 
 
+MIDNIGHT = 9_000  # seconds from START to the next day
+
+
+def history(seed):
+    """Events of orders over two midnights, with fractions, repeats, late ones and bad lines."""
+    rng = random.Random(seed)
+    events = []
+    for n in range(12):
+        first = rng.choice([0, MIDNIGHT - 2, MIDNIGHT - 0.5, MIDNIGHT + 86_399.5])
+        events.append(order("t", "NEW", first, order_id=str(n)))
+        for status in rng.sample(["CANCELLED", "FILLED", "NEW"], rng.randint(0, 3)):
+            events.append(order("t", status, first + rng.choice([0.1, 0.9, 4, 86_400]), order_id=str(n)))
+    rng.shuffle(events)
+    poison = [
+        order("t", "NEW", 0, order_id="big", quantity="1e30", price="1e300"),
+        order("t", "NEW", 0, order_id="clock", timestamp="12:30"),
+    ]
+    return [events[:9], ["{bad", "also bad"], events[9:14] + events[:2], poison, events[14:], poison[1:]]
+
+
+@pytest.mark.parametrize("max_files", [1, 3, None])
+def test_cycles_of_any_size_give_the_same_tables(spark, lake, max_files):
+    for step, part in enumerate(history(4)):
+        land(spark, lake, "orders", *part)
+        if step in (1, 3, 5):
+            detectors.run_available(order_cycle_writer(spark, lake, max_files))
+    lines = parse_messages(read_bronze(spark, lake.bronze, "orders"), schemas.RAW_ORDER)
+    orders = lake_silver.silver_orders(lines)
+    for table, build in (
+        ("trader_daily_activity", lake_gold.trader_daily_activity),
+        ("asset_hourly_summary", lake_gold.asset_hourly_summary),
+    ):
+        wanted = build(orders)
+        found = gold(spark, lake, table, wanted.schema)
+        plain = lambda rows: sorted(str(sorted(r.asDict().items())) for r in rows)
+        assert plain(found) == plain(wanted.collect())
+    settled = current_orders(spark, lake).select(*orders.columns)
+    assert sorted(map(str, settled.collect())) == sorted(map(str, orders.collect()))
+
+
+def test_repeated_cycle_changes_nothing(spark, lake):
+    for part in history(5):
+        land(spark, lake, "orders", *part)
+    detectors.run_available(order_cycle_writer(spark, lake, 2))
+    before = sorted(map(str, current_orders(spark, lake).collect()))
+    # Without its last commit a stream runs the last batch again.
+    commits = f"{lake.checkpoint('orders')}/commits"
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    os.rename(f"{commits}/{last}", f"{lake.root}/commit-{last}")
+    os.rename(f"{commits}/.{last}.crc", f"{lake.root}/commit-{last}.crc")
+    detectors.run_available(order_cycle_writer(spark, lake, 2))
+    assert last in os.listdir(commits)
+    assert sorted(map(str, current_orders(spark, lake).collect())) == before
+
+
+def test_quarantine_keeps_each_bad_line_once(spark, lake):
+    for part in history(6):
+        land(spark, lake, "orders", *part)
+        detectors.run_available(quarantine_writer(spark, lake))
+    rows = spark.read.parquet(lake.folder("quarantine", "orders")).groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in rows} == {"unparsable message": 2, "unparsable event time": 2}
+
+
 def test_cycle_leaves_other_dates_alone(spark, lake):
     land(spark, lake, "orders", order("t", "NEW", 0))
     detectors.run_available(order_cycle_writer(spark, lake))

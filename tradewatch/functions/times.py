@@ -13,8 +13,11 @@ def event_time(text: Column) -> Column:
 
 
 def utc_timestamp(text: Column) -> Column:
-    """Full-precision time from an ISO string, its offset applied; NULL when unparsable."""
-    return F.try_to_timestamp(text)
+    """Full-precision time from an ISO string, its offset applied; NULL when unparsable.
+
+    A text without a date would be read as a time of today, so it counts as unparsable.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}"), F.try_to_timestamp(text))
 
 
 def iso_seconds(ts: Column) -> Column:

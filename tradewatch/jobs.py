@@ -20,7 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tradewatch import schemas
 from tradewatch.operators import export
 from tradewatch.operators.alerts import alert_messages
-from tradewatch.params import LakeParams, SpoofingParams, WashParams
+from tradewatch.params import ExportParams, LakeParams, SpoofingParams, WashParams
 from tradewatch.session import build_session, use_rocksdb_state
 from tradewatch.sinks.messages import topic_writer
 from tradewatch.sources import kafka
@@ -32,6 +32,8 @@ from tradewatch.streaming import catalog, detectors, lake
 def _source(spark: SparkSession, args: argparse.Namespace, topics: Sequence[str]) -> DataFrame:
     if args.servers:
         return kafka.topic_stream(spark, args.servers, topics)
+    if len(topics) > 1:
+        raise SystemExit("a folder holds the lines of one topic: name it with --topics")
     lines = spark.readStream.text(args.folder)
     return lines.withColumn("topic", F.lit(topics[0]))
 
@@ -84,6 +86,16 @@ def trades(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
+def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
+    writer = lake.alert_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
+    _run(writer, args, LakeParams.from_env().cycle_sec)
+
+
+def quarantine(spark: SparkSession, args: argparse.Namespace) -> None:
+    writer = lake.quarantine_writer(spark, lake.Lake(args.lake), args.max_files)
+    _run(writer, args, LakeParams.from_env().cycle_sec)
+
+
 def alert_gold(spark: SparkSession, args: argparse.Namespace) -> None:
     lake.refresh_alert_gold(spark, lake.Lake(args.lake), args.date)
 
@@ -93,17 +105,19 @@ def rebuild(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def snapshots(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Newest alerts, orders and trade legs of the raw lake as CSV."""
+    """Alerts, orders and trade legs of the raw lake as CSV; with --limit the newest of each."""
     bronze = lake.Lake(args.lake).bronze
 
+    params = ExportParams(args.limit, args.limit, args.limit)
+
     def topic(name: str) -> DataFrame:
         return read_bronze(spark, bronze, name)
 
     catalog.write_snapshots(
         args.out,
-        alerts=export.balanced_alert_sample(parse_alerts(topic("alerts"))),
-        orders=export.latest_orders_sample(parse_messages(topic("orders"), schemas.ORDER)),
-        trades=export.latest_trade_legs_sample(parse_messages(topic("trades"), schemas.TRADE)),
+        alerts=export.balanced_alert_sample(parse_alerts(topic("alerts")), params),
+        orders=export.latest_orders_sample(parse_messages(topic("orders"), schemas.ORDER), params),
+        trades=export.latest_trade_legs_sample(parse_messages(topic("trades"), schemas.TRADE), params),
     )
 
 
@@ -117,6 +131,8 @@ JOBS = {
     "landing": landing,
     "orders": orders,
     "trades": trades,
+    "alerts": alerts,
+    "quarantine": quarantine,
     "alert-gold": alert_gold,
     "rebuild": rebuild,
     "snapshots": snapshots,
@@ -134,6 +150,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", help="checkpoint folder of a detector")
     parser.add_argument("--lake", help="root folder of the lake")
     parser.add_argument("--max-files", type=int, help="raw files per cycle")
+    parser.add_argument("--limit", type=int, help="rows per snapshot")
     parser.add_argument("--date", help="landing date, yyyy-MM-dd")
     parser.add_argument("--prefix", default="", help="prefix of the layer schemas")
     parser.add_argument("--location", help="folder of the layer schemas")

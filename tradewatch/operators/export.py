@@ -10,10 +10,12 @@ from tradewatch.functions.traders import ID_COLUMNS, trader_type_from_id
 from tradewatch.params import ExportParams
 
 
-def _newest_of_type(alerts: DataFrame, alert_type: str, limit: int) -> DataFrame:
+def _newest_of_type(alerts: DataFrame, alert_type: str, limit: int | None) -> DataFrame:
+    own = alerts.where(F.col("alert_type") == alert_type)
+    if limit is None:
+        return own
     return (
-        alerts.where(F.col("alert_type") == alert_type)
-        .orderBy(F.desc("detected_at"), F.desc("window_start"), "symbol", *ID_COLUMNS)
+        own.orderBy(F.desc("detected_at"), F.desc("window_start"), "symbol", *ID_COLUMNS)
         .limit(limit)
     )
 
@@ -24,7 +26,7 @@ def balanced_alert_sample(alerts: DataFrame, params: ExportParams = ExportParams
     Two top-k reports: each task passes on its own newest rows only, and with alerts straight
     from the detectors each report runs just the detector it needs.
     """
-    half = params.alert_limit // 2
+    half = None if params.alert_limit is None else params.alert_limit // 2
     columns = schemas.ALERT_CSV.fieldNames()
     spoofing = _newest_of_type(alerts, "SPOOFING", half)
     wash = _newest_of_type(alerts, "WASH_TRADING", half)
@@ -33,11 +35,10 @@ def balanced_alert_sample(alerts: DataFrame, params: ExportParams = ExportParams
 
 def latest_orders_sample(orders: DataFrame, params: ExportParams = ExportParams()) -> DataFrame:
     """Newest order events, every status included."""
-    return (
-        orders.orderBy(F.desc("timestamp"), F.desc("order_id"), "status")
-        .limit(params.order_limit)
-        .select(*schemas.ORDER_CSV.fieldNames())
-    )
+    if params.order_limit is not None:
+        newest = orders.orderBy(F.desc("timestamp"), F.desc("order_id"), "status")
+        orders = newest.limit(params.order_limit)
+    return orders.select(*schemas.ORDER_CSV.fieldNames())
 
 
 def _leg(side: str, trader: Column, place: int) -> Column:
@@ -67,6 +68,8 @@ def latest_trade_legs_sample(trades: DataFrame, params: ExportParams = ExportPar
 
     Only half as many trades as legs are needed, so the cut is made on trades first.
     """
+    if params.leg_limit is None:
+        return trade_legs(trades)
     newest = [F.desc(name) for name in NEWEST_TRADE]
     trades = trades.orderBy(*newest).limit((params.leg_limit + 1) // 2)
     return (

@@ -23,8 +23,13 @@ def with_severity(alerts: DataFrame) -> DataFrame:
     )
 
 
-def _newest(alerts: DataFrame, limit: int) -> DataFrame:
-    """The newest rows in a total order: each task keeps its own top rows before they meet."""
+def _newest(alerts: DataFrame, limit: int | None) -> DataFrame:
+    """The newest rows in a total order: each task keeps its own top rows before they meet.
+
+    Without a limit all rows, in no order.
+    """
+    if limit is None:
+        return alerts
     return alerts.orderBy(
         F.desc("detected_at"), "alert_type", "symbol", *ID_COLUMNS, "window_start"
     ).limit(limit)
@@ -82,7 +87,7 @@ def high_risk_traders(alerts: DataFrame, params: ServingParams = ServingParams()
     spoofing = F.col("alert_type") == "SPOOFING"
     wash = F.col("alert_type") == "WASH_TRADING"
     ids = F.when(spoofing, F.array("trader_id")).when(wash, F.array("trader_id_1", "trader_id_2"))
-    return (
+    ranking = (
         known.select(
             F.explode(ids).alias("trader_id"),
             "alert_type",
@@ -97,9 +102,10 @@ def high_risk_traders(alerts: DataFrame, params: ServingParams = ServingParams()
             F.avg("rate").alias("avg_cancel_rate"),
             F.max("detected_at").alias("latest_alert"),
         )
-        .orderBy(F.desc("alert_count"), "trader_id")
-        .limit(params.top_traders)
     )
+    if params.top_traders is None:
+        return ranking
+    return ranking.orderBy(F.desc("alert_count"), "trader_id").limit(params.top_traders)
 
 
 def high_risk_traders_formatted(

@@ -54,10 +54,17 @@ def valid_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def latest_tick_per_symbol(ticks: DataFrame) -> DataFrame:
-    """Last price of each symbol; the higher price wins at equal times."""
-    last = F.max(F.struct("timestamp_ms", "price")).alias("last")
+    """Last price of each symbol; the higher price wins at equal times.
+
+    Two maxima of plain numbers are hash aggregates; the maximum of a struct would sort all ticks.
+    """
+    valid = valid_ticks(ticks)
+    last = valid.groupBy("symbol").agg(F.max("timestamp_ms").alias("timestamp_ms"))
+    at_last = valid.join(last.withColumnRenamed("timestamp_ms", "last_ms"), "symbol")
     return (
-        valid_ticks(ticks).groupBy("symbol").agg(last).select("symbol", "last.timestamp_ms", "last.price")
+        at_last.where(F.col("timestamp_ms").eqNullSafe(F.col("last_ms")))
+        .groupBy("symbol", "timestamp_ms")
+        .agg(F.max("price").alias("price"))
     )
 
 

@@ -68,30 +68,28 @@ class LakeParams:
 
     landing_sec: int = 60
     cycle_sec: int = 300
-    lookback_hours: int = 24
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LakeParams:
         return cls(
             landing_sec=_read(env, "BATCH_SECONDS", cls.landing_sec, int),
             cycle_sec=_read(env, "INTERVAL_SECONDS", cls.cycle_sec, int),
-            lookback_hours=_read(env, "LOOKBACK_HOURS", cls.lookback_hours, int),
         )
 
 
 @dataclass(frozen=True)
 class ExportParams:
-    """Row limits of the exported samples; alerts are split evenly over the two types."""
+    """Row limits of the exported samples, None for all rows; alerts are split evenly over the types."""
 
-    alert_limit: int = 5_000
-    order_limit: int = 10_000
-    leg_limit: int = 5_000
+    alert_limit: int | None = None
+    order_limit: int | None = None
+    leg_limit: int | None = None
 
 
 @dataclass(frozen=True)
 class ServingParams:
-    """Row limits of the analyst views."""
+    """Row limits of the analyst views, None for all rows."""
 
-    feed_limit: int = 500
-    top_traders: int = 25
-    drilldown_limit: int = 200
+    feed_limit: int | None = None
+    top_traders: int | None = None
+    drilldown_limit: int | None = None

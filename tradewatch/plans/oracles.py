@@ -184,11 +184,14 @@ RAW = (
     + """,
 dirty AS (
   SELECT order_id, trader_id, trader_type, symbol, side, status, event_time, event_id,
-         CASE WHEN event_id % 107 = 0 THEN NULL ELSE price END AS price,
+         CASE WHEN event_id % 107 = 0 THEN NULL
+              WHEN event_id % 109 <> 0 AND event_id % 113 <> 0 AND event_id % 127 <> 0
+                   AND event_id % 131 = 0 THEN CAST('1e300' AS DOUBLE) ELSE price END AS price,
          CASE WHEN event_id % 107 = 0 THEN quantity WHEN event_id % 109 = 0 THEN NULL
+              WHEN event_id % 113 = 0 THEN quantity WHEN event_id % 127 = 0 THEN NULL
               ELSE quantity END AS whole_quantity,
          event_id % 107 <> 0 AND event_id % 109 <> 0 AND event_id % 113 = 0 AS is_fraction,
-         CASE WHEN event_id % 103 = 0 THEN 'garbage'
+         CASE WHEN event_id % 103 = 0 THEN 'garbage' WHEN event_id % 137 = 0 THEN '12:30'
               ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS stamp
   FROM order_feed
 ),
@@ -205,7 +208,10 @@ broken_lines AS (
 SILVER = (
     RAW
     + f""",
-usable AS (SELECT * FROM raw_lines WHERE stamp <> 'garbage'),
+usable AS (
+  SELECT * REPLACE (CASE WHEN price < 1e15 THEN price END AS price)
+  FROM raw_lines WHERE stamp NOT IN ('garbage', '12:30')
+),
 cancel_pairs AS (
   SELECT order_id, min(event_time) FILTER (status = 'NEW') AS placed_at,
          min(event_time) FILTER (status = 'CANCELLED') AS cancelled_at
@@ -298,7 +304,7 @@ feed AS (
          cancel_rate, cancel_count, total_orders, match_count, avg_price_diff_pct
   FROM graded
   ORDER BY detected_at DESC, alert_type, symbol, trader_id NULLS FIRST, trader_id_1 NULLS FIRST,
-           trader_id_2 NULLS FIRST, window_start LIMIT 500
+           trader_id_2 NULLS FIRST, window_start
 )"""
 
 RISK = """
@@ -334,7 +340,8 @@ ORACLES: dict[str, str] = {
         """
         SELECT 'order' AS event_type, order_id, trader_id, trader_type, symbol, side, price,
                CASE WHEN is_fraction THEN NULL ELSE whole_quantity END AS quantity, status,
-               stamp AS timestamp, CASE WHEN stamp <> 'garbage' THEN event_time END AS event_time
+               stamp AS timestamp,
+               CASE WHEN stamp NOT IN ('garbage', '12:30') THEN event_time END AS event_time
         FROM raw_lines
         """,
     ),
@@ -351,7 +358,7 @@ ORACLES: dict[str, str] = {
         RAW,
         """
         SELECT 'orders' AS topic, 'unparsable event time' AS reason, order_id
-        FROM raw_lines WHERE stamp = 'garbage'
+        FROM raw_lines WHERE stamp IN ('garbage', '12:30')
         UNION ALL
         SELECT 'orders', 'unparsable message', NULL FROM broken_lines
         """,
@@ -554,7 +561,7 @@ ORACLES: dict[str, str] = {
                cancel_rate, cancel_count, total_orders, match_count, avg_price_diff_pct
         FROM graded
         WHERE alert_type = 'SPOOFING' AND severity = 'HIGH' AND symbol = 'MSFT'
-        ORDER BY detected_at DESC, trader_id, window_start LIMIT 500
+        ORDER BY detected_at DESC, trader_id, window_start
         """,
     ),
     "alert_feed_formatted": _with(
@@ -607,7 +614,7 @@ ORACLES: dict[str, str] = {
         WHERE trader_id = 'spoofer_00010' OR trader_id_1 = 'spoofer_00010'
            OR trader_id_2 = 'spoofer_00010'
         ORDER BY detected_at DESC, alert_type, symbol, trader_id NULLS FIRST,
-                 trader_id_1 NULLS FIRST, trader_id_2 NULLS FIRST, window_start LIMIT 200
+                 trader_id_1 NULLS FIRST, trader_id_2 NULLS FIRST, window_start
         """,
     ),
     "trader_activity_lookup": _with(
@@ -788,32 +795,31 @@ ORACLES: dict[str, str] = {
         ALERTS, f"SELECT * FROM wash WHERE window_end <= {LATE_WINDOWS}"
     ),
     "lake_cycle": _with(SILVER, "SELECT * FROM activity"),
+    "lake_cycle_orders": _with(SILVER, "SELECT * FROM silver"),
+    "stream_malformed_orders": _with(
+        RAW,
+        """
+        SELECT 'orders' AS topic, 'unparsable event time' AS reason, order_id
+        FROM raw_lines WHERE stamp IN ('garbage', '12:30')
+        UNION ALL
+        SELECT 'orders', 'unparsable message', NULL FROM broken_lines
+        """,
+    ),
     "catalog_rebuild": _with(
         ALERTS + "," + TRADES,
         """
-        , sample AS (
+        , kept AS (
           SELECT * FROM all_alerts
-          QUALIFY row_number() OVER (
-            PARTITION BY alert_type
-            ORDER BY detected_at DESC, window_start DESC, symbol, trader_id NULLS FIRST,
-                     trader_id_1 NULLS FIRST, trader_id_2 NULLS FIRST) <= 2500
-        ),
-        kept AS (
-          SELECT * FROM sample
           QUALIFY row_number() OVER (
             PARTITION BY alert_type, trader_id, symbol, window_start, window_end
             ORDER BY trader_id_1, trader_id_2) = 1
-        ),
-        order_rows AS (
-          SELECT order_id, status FROM order_feed
-          ORDER BY event_time DESC, order_id DESC, status LIMIT 10000
         )
-        SELECT 'bronze.alerts' AS table_name, count(*) AS row_count FROM sample
-        UNION ALL SELECT 'bronze.orders', count(*) FROM order_rows
-        UNION ALL SELECT 'bronze.trades', count(*) FROM leg_sample
+        SELECT 'bronze.alerts' AS table_name, count(*) AS row_count FROM all_alerts
+        UNION ALL SELECT 'bronze.orders', count(*) FROM order_feed
+        UNION ALL SELECT 'bronze.trades', count(*) FROM leg_rows
         UNION ALL SELECT 'silver.alerts', count(*) FROM kept
-        UNION ALL SELECT 'silver.orders', count(DISTINCT (order_id, status)) FROM order_rows
-        UNION ALL SELECT 'silver.trades', count(DISTINCT trade_id) FROM leg_sample
+        UNION ALL SELECT 'silver.orders', count(DISTINCT (order_id, status)) FROM order_feed
+        UNION ALL SELECT 'silver.trades', count(DISTINCT trade_id) FROM leg_rows
         UNION ALL SELECT 'gold.trader_risk_summary', count(DISTINCT t) FROM (
           SELECT trader_id AS t FROM kept UNION ALL SELECT trader_id_1 FROM kept
           UNION ALL SELECT trader_id_2 FROM kept)
@@ -822,4 +828,23 @@ ORACLES: dict[str, str] = {
                          count(DISTINCT (date_trunc('day', detected_at), alert_type)) FROM kept
         """,
     ),
+    "catalog_orders_table": _with(
+        ORDERS,
+        """
+        SELECT order_id, trader_id, lower(trader_type) AS trader_type, upper(symbol) AS symbol,
+               lower(side) AS side, price, quantity, lower(status) AS status,
+               strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp
+        FROM order_feed
+        """,
+    ),
 }
+ORACLES["silver_trades_cycle"] = ORACLES["silver_trades"]
+ORACLES["alert_summary_cycle"] = ORACLES["alert_summary"].replace(
+    "SELECT alert_type, count(*) AS total_alerts",
+    "SELECT '2024-02-01' AS date, alert_type, count(*) AS total_alerts",
+)
+ORACLES["catalog_trades_table"] = ORACLES["silver_trades_catalog"]
+# The same rows; the query puts them in the order of display.
+ORACLES["trader_risk_ranking"] = ORACLES["trader_risk_summary"]
+ORACLES["asset_activity_ranking"] = ORACLES["asset_alert_activity"]
+ORACLES["newest_alert_days"] = ORACLES["daily_alert_metrics"]

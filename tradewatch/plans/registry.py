@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ from tradewatch.operators import (
     ticks,
     wash,
 )
-from tradewatch.params import SpoofingParams, WashParams
+from tradewatch.params import ExportParams, ServingParams, SpoofingParams, WashParams
 from tradewatch.session import prepare, working_folder
 from tradewatch.sinks import lake as lake_sink
+from tradewatch.sinks.tables import drop_layers
 from tradewatch.sources import lake as lake_source
 from tradewatch.sources import messages, tables
 from tradewatch.streaming import catalog as catalog_job
@@ -37,6 +39,10 @@ from tradewatch.streaming import lake as lake_job
 SPOOFING = SpoofingParams(window_sec=172_800, slide_sec=43_200, min_cancel_count=3)
 WASH = WashParams(window_sec=432_000, match_gap_sec=43_200)
 
+# Limits of the queries that are samples or rankings.
+SAMPLE = ExportParams(alert_limit=5_000, order_limit=10_000, leg_limit=5_000)
+TOP = ServingParams(top_traders=25)
+
 SINCE_DAY = "2024-01-20"
 DRILLDOWN_TRADER = "spoofer_00010"
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
@@ -189,8 +195,10 @@ def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts written as messages and read back."""
-    return messages.parse_alerts(alerts.alert_messages(_alerts(spark, sf_dir)))
+    """Alerts written to files as messages and read back."""
+    folder = working_folder(spark, "alerts")
+    alerts.alert_messages(_alerts(spark, sf_dir)).select("value").write.text(folder)
+    return messages.parse_alerts(spark.read.text(folder))
 
 
 @query
@@ -354,12 +362,12 @@ def alert_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def high_risk_traders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(serving.high_risk_traders(_alerts(spark, sf_dir)), 9, "avg_cancel_rate")
+    return _rounded(serving.high_risk_traders(_alerts(spark, sf_dir), TOP), 9, "avg_cancel_rate")
 
 
 @query
 def high_risk_traders_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.high_risk_traders_formatted(_alerts(spark, sf_dir))
+    return serving.high_risk_traders_formatted(_alerts(spark, sf_dir), TOP)
 
 
 @query
@@ -420,12 +428,12 @@ def order_vs_last_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def balanced_alert_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.balanced_alert_sample(_alerts(spark, sf_dir))
+    return export.balanced_alert_sample(_alerts(spark, sf_dir), SAMPLE)
 
 
 @query
 def latest_orders_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.latest_orders_sample(_stamped_orders(spark, sf_dir))
+    return export.latest_orders_sample(_stamped_orders(spark, sf_dir), SAMPLE)
 
 
 @query
@@ -435,7 +443,7 @@ def trade_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_trade_legs_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.latest_trade_legs_sample(_trades(spark, sf_dir))
+    return export.latest_trade_legs_sample(_trades(spark, sf_dir), SAMPLE)
 
 
 @query
@@ -568,34 +576,127 @@ def stream_wash_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(result, 6, "avg_price_diff_pct")
 
 
+def _cycled_lake(spark: SparkSession, sf_dir: str, job) -> lake_job.Lake:
+    """Order lines landed in three steps, with a run of the job after each.
+
+    Placements come first and ends of life next, so that every order, also one over midnight, is
+    spread over cycles; the last step has no line that any job can use.
+    """
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    status = F.get_json_object("value", "$.status")
+    lines = _raw(spark, sf_dir)
+    for part in (status == "NEW", status != "NEW", status.isNull()):
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines.where(part)), lake.bronze)
+        detectors.run_available(job(spark, lake))
+    return lake
+
+
 @query
 def lake_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing in two steps with a cleaning and aggregation cycle after each."""
-    lake = lake_job.Lake(working_folder(spark, "lake"))
-    for _ in _land_in_steps(spark, sf_dir, lake):
-        detectors.run_available(lake_job.order_cycle_writer(spark, lake))
+    """Daily activity as the cycles leave it."""
+    lake = _cycled_lake(spark, sf_dir, lake_job.order_cycle_writer)
     schema = lake_gold.trader_daily_activity(_silver(spark, sf_dir)).schema
-    return lake_source.read_dated(spark, lake.gold("trader_daily_activity"), schema)
+    return lake_job.read_gold(spark, lake, "trader_daily_activity", schema)
 
 
 @query
-def catalog_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three table layers rebuilt from exported snapshots, as rows per table."""
-    folder = working_folder(spark, "catalog")
+def lake_cycle_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled orders as the cycles leave them."""
+    lake = _cycled_lake(spark, sf_dir, lake_job.order_cycle_writer)
+    return lake_job.current_orders(spark, lake).drop("event_at", "placed_at", "cancelled_at")
+
+
+@query
+def stream_malformed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine table after three cycles."""
+    lake = _cycled_lake(spark, sf_dir, lake_job.quarantine_writer)
+    order_id = F.get_json_object("value", "$.order_id").alias("order_id")
+    return spark.read.parquet(lake.folder("quarantine", "orders")).select("topic", "reason", order_id)
+
+
+@query
+def silver_trades_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades landed twice, with a cycle after each landing."""
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    lines = _trades(spark, sf_dir)
+    value = F.to_json(F.struct(*lines.columns)).alias("value")
+    landing = lake_sink.bronze_rows(lines.select(F.lit("trades").alias("topic"), value))
+    for _ in range(2):
+        lake_sink.write_bronze(landing, lake.bronze)
+        detectors.run_available(lake_job.trade_cycle_writer(spark, lake))
+    return lake_job.current_trades(spark, lake).drop("event_at")
+
+
+@query
+def alert_summary_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of each type landed one after the other on one date, with a cycle after each."""
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    landed_at = F.lit("2024-02-01 10:00:00").cast("timestamp")
     found = _alerts(spark, sf_dir)
+    for kind in ("SPOOFING", "WASH_TRADING"):
+        part = alerts.alert_messages(found.where(F.col("alert_type") == kind))
+        lines = part.select(F.lit("alerts").alias("topic"), "value")
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines, landed_at), lake.bronze)
+        detectors.run_available(lake_job.alert_cycle_writer(spark, lake))
+    schema = lake_gold.alert_summary(found).withColumn("date", F.lit("")).schema
+    return lake_source.read_dated(spark, lake.gold("alert_summary"), schema)
+
+
+def _from_catalog(spark: SparkSession, sf_dir: str, pick) -> DataFrame:
+    """What `pick` takes from the three table layers, rebuilt from snapshots of all rows."""
+    folder = working_folder(spark, "catalog")
     catalog_job.write_snapshots(
         f"{folder}/snapshots",
-        alerts=export.balanced_alert_sample(found),
-        orders=export.latest_orders_sample(_stamped_orders(spark, sf_dir)),
-        trades=export.latest_trade_legs_sample(_trades(spark, sf_dir)),
+        alerts=_alerts(spark, sf_dir).select(*schemas.ALERT_CSV.fieldNames()),
+        orders=_stamped_orders(spark, sf_dir),
+        trades=export.trade_legs(_trades(spark, sf_dir)),
     )
     prefix = f"tradewatch_{folder.rsplit('-', 1)[-1][:12]}_"
     built = catalog_job.rebuild_catalog(spark, f"{folder}/snapshots", prefix, folder)
+    pick(built).write.parquet(f"{folder}/result")
+    drop_layers(spark, prefix)
+    return spark.read.parquet(f"{folder}/result")
+
+
+def _row_counts(built: dict[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         for name, df in built.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def catalog_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table of the rebuilt layers."""
+    return _from_catalog(spark, sf_dir, _row_counts)
+
+
+@query
+def catalog_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuilt table of cleaned orders."""
+    return _from_catalog(spark, sf_dir, lambda built: built["silver.orders"])
+
+
+@query
+def catalog_trades_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuilt table of cleaned trades."""
+    return _from_catalog(spark, sf_dir, lambda built: built["silver.trades"])
+
+
+@query
+def trader_risk_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary = catalog.trader_risk_summary(_silver_alerts(spark, sf_dir))
+    return _rounded(serving.ranked_risk(summary), 9, "avg_cancel_rate")
+
+
+@query
+def asset_activity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    activity = catalog.asset_alert_activity(_silver_alerts(spark, sf_dir))
+    return _rounded(serving.ranked_assets(activity), 9, "avg_cancel_rate")
+
+
+@query
+def newest_alert_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = catalog.daily_alert_metrics(_silver_alerts(spark, sf_dir))
+    return _rounded(serving.newest_days(metrics), 9, "avg_cancel_rate")

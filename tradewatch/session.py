@@ -17,8 +17,6 @@ RUNTIME_CONF = {
     # Some joins and windows turn few bytes into much work; keep them on all cores.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Gold partitions are replaced one date at a time.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -25,6 +25,12 @@ def create_layers(spark: SparkSession, prefix: str = "", location: str | None =
         )
 
 
+def drop_layers(spark: SparkSession, prefix: str = "") -> None:
+    """Drop the layer schemas with all their tables."""
+    for layer in LAYERS:
+        spark.sql(f"DROP SCHEMA IF EXISTS {layer_name(layer, prefix)} CASCADE")
+
+
 def replace_table(df: DataFrame, name: str, table_format: str = "parquet") -> DataFrame:
     """Overwrite a managed table and return it as a scan."""
     df.write.format(table_format).mode("overwrite").saveAsTable(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +26,8 @@ def read_bronze(
     date: str | None = None,
     modified_after: datetime | None = None,
 ) -> DataFrame:
-    """Raw lines. Topic and date prune folders; unreadable files and blank lines are skipped."""
-    reader = spark.read.schema(BRONZE).option("ignoreCorruptFiles", "true")
+    """Raw lines. Topic and date prune folders; blank lines are skipped, unreadable files are errors."""
+    reader = spark.read.schema(BRONZE)
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
     return _lines(reader.format("text").load(root), topic, date)
@@ -36,7 +37,7 @@ def bronze_stream(
     spark: SparkSession, root: str, topic: str | None = None, max_files: int | None = None
 ) -> DataFrame:
     """The same lines, file by file as they land; the checkpoint remembers what was read."""
-    reader = spark.readStream.schema(BRONZE).option("ignoreCorruptFiles", "true")
+    reader = spark.readStream.schema(BRONZE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return _lines(reader.format("text").load(root), topic, None)
@@ -59,17 +60,15 @@ def read_dated(
     spark: SparkSession, root: str, schema: T.StructType, dates: list[str] | None = None
 ) -> DataFrame:
     """Rows of a date-partitioned Parquet table; an absent table or date gives no rows."""
-    if not _exists(spark, root):
+    try:
+        rows = spark.read.schema(_dated(schema)).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], _dated(schema))
-    rows = spark.read.schema(_dated(schema)).parquet(root)
     return rows if dates is None else rows.where(F.col("date").isin(dates))
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A snapshot with a header; an empty field is NULL."""
     return spark.read.schema(schema).csv(path, header=True, timestampFormat=CSV_TIMESTAMP)

@@ -96,10 +96,17 @@ def order_feed(events: DataFrame) -> DataFrame:
 
 
 def raw_order_feed(events: DataFrame) -> DataFrame:
-    """The order feed as JSON messages with planted repeats, broken lines and bad fields."""
+    """The order feed as JSON messages with planted repeats, broken lines and bad fields.
+
+    Bad fields are text for numbers, numbers too large for any whole type, and times without a date.
+    """
     number = F.col("order_id").cast("bigint")
     terminal = F.col("status") != "NEW"
-    stamp = F.when(number % 103 == 0, "garbage").otherwise(times.iso_micros(F.col("event_time")))
+    stamp = (
+        F.when(number % 103 == 0, "garbage")
+        .when(number % 137 == 0, "12:30")
+        .otherwise(times.iso_micros(F.col("event_time")))
+    )
 
     def message(price: Column, quantity: Column) -> Column:
         return F.to_json(
@@ -115,6 +122,8 @@ def raw_order_feed(events: DataFrame) -> DataFrame:
         F.when(number % 107 == 0, message(F.lit("notnum"), quantity))
         .when(number % 109 == 0, message(price, F.lit("abc")))
         .when(number % 113 == 0, message(price, F.concat(quantity.cast("string"), F.lit(".9"))))
+        .when(number % 127 == 0, message(price, F.lit("1e30")))
+        .when(number % 131 == 0, message(F.lit("1e300"), quantity))
         .otherwise(message(price, quantity))
     )
     lines = F.array(

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tradewatch import schemas
+from tradewatch.functions.dedup import keep_latest
 from tradewatch.operators import lake_gold, lake_silver
 from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates, replace_dated
 from tradewatch.sources import lake as source
-from tradewatch.sources.messages import parse_alerts, parse_messages
+from tradewatch.sources.messages import malformed_orders, parse_alerts, parse_messages
 
 SILVER_ORDER = T.StructType(
     [
@@ -21,11 +22,23 @@ SILVER_ORDER = T.StructType(
             T.StructField(f.name, {"price": T.DoubleType(), "quantity": T.LongType()}.get(f.name, f.dataType))
             for f in schemas.RAW_ORDER
         ],
+        T.StructField("event_at", T.TimestampType()),
         T.StructField("placed_at", T.TimestampType()),
         T.StructField("cancelled_at", T.TimestampType()),
         T.StructField("time_to_cancel_seconds", T.DoubleType()),
+        # The cycle that wrote the row, and whether it still holds the order.
+        T.StructField("version", T.LongType()),
+        T.StructField("live", T.BooleanType()),
     ]
 )
+SILVER_TRADE = T.StructType(
+    [
+        T.StructField(f.name, {"price": T.DoubleType(), "quantity": T.LongType()}.get(f.name, f.dataType))
+        for f in schemas.RAW_TRADE
+    ]
+    + [T.StructField("event_at", T.TimestampType())]
+)
+REBUILT = -1  # version of rows written by a rebuild
 
 
 @dataclass(frozen=True)
@@ -63,25 +76,59 @@ def landing_writer(messages: DataFrame, lake: Lake, landed_at: Column | None = N
     )
 
 
+def current_orders(
+    spark: SparkSession, lake: Lake, dates: list[str] | None = None, before: int | None = None
+) -> DataFrame:
+    """The settled orders: one row per order, under the date of its latest event.
+
+    Every cycle appends the orders it changed; the row of the last cycle counts. An order that moved
+    to another date leaves a row there that is not live. before: leave out that cycle and later ones.
+    """
+    rows = source.read_dated(spark, lake.silver("orders"), SILVER_ORDER, dates)
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    latest = keep_latest(rows, ["date", "order_id"], [F.col("version")])
+    return latest.where("live").drop("live", "version")
+
+
+def current_trades(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The latest event of every trade over all cycles."""
+    rows = source.read_dated(spark, lake.silver("trades"), SILVER_TRADE)
+    return lake_silver.merge_silver_trades(rows)
+
+
 def order_cycle_writer(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> DataStreamWriter:
-    """Clean newly landed orders, append them, and renew the aggregates of the dates they touch.
+    """Settle the orders of newly landed lines and renew the aggregates of the dates they touch.
 
-    The dates are observed while the rows are written: a few calendar days, however many rows.
-    max_files splits a large backlog into several cycles.
+    An order is settled with what earlier cycles knew of it, under whatever date, so the tables do
+    not depend on how lines fall into cycles. A repeated cycle writes the same rows again and reads
+    only those of earlier ones. max_files splits a large backlog into several cycles.
     """
     new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
 
     def cycle(lines: DataFrame, batch_id: int) -> None:
-        orders = lake_silver.silver_orders(
+        fresh = lake_silver.silver_orders(
             parse_messages(lines, schemas.RAW_ORDER), keep_lifecycle=True
+        ).cache()
+        earlier = current_orders(spark, lake, before=batch_id)
+        known = earlier.join(fresh.select("order_id"), "order_id", "left_semi").cache()
+        settled = lake_silver.merge_silver_orders(fresh.unionByName(known))
+        here = settled.select("order_id", F.col("date").alias("new_date"))
+        left = known.join(here, "order_id").where(F.col("date") != F.col("new_date"))
+        changed = (
+            settled.withColumn("live", F.lit(True))
+            .unionByName(left.drop("new_date").withColumn("live", F.lit(False)))
+            .withColumn("version", F.lit(batch_id).cast("long"))
+            .cache()
         )
-        seen = Observation()
-        append_dated(
-            orders.observe(seen, F.collect_set("date").alias("dates")), lake.silver("orders")
-        )
-        refresh_order_gold(spark, lake, sorted(seen.get["dates"]))
+        append_dated(changed, lake.silver("orders"))
+        # A few calendar days, however many rows.
+        dates = sorted(row["date"] for row in changed.select("date").distinct().collect())
+        for frame in (changed, known, fresh):
+            frame.unpersist()
+        refresh_order_gold(spark, lake, dates)
 
     return (
         new_lines.writeStream.foreachBatch(cycle)
@@ -93,10 +140,12 @@ def order_cycle_writer(
 def trade_cycle_writer(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> DataStreamWriter:
-    """Clean newly landed trades and append them; readers merge repeats across cycles."""
+    """Clean newly landed trades and append them; current_trades merges repeats across cycles."""
 
     def cycle(lines: DataFrame, batch_id: int) -> None:
-        trades = lake_silver.silver_trades(parse_messages(lines, schemas.RAW_TRADE))
+        trades = lake_silver.silver_trades(
+            parse_messages(lines, schemas.RAW_TRADE), keep_event_time=True
+        )
         append_dated(trades, lake.silver("trades"))
 
     return (
@@ -107,17 +156,61 @@ def trade_cycle_writer(
     )
 
 
-def refresh_order_gold(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
-    """Recompute the order aggregates of some dates from all cleaned rows of those dates.
+def alert_cycle_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
+    """Renew the alert summary of every landing date that got new lines."""
 
-    Cleaned rows of one order from several cycles, or of a replayed one, are merged first.
-    """
+    def cycle(lines: DataFrame, batch_id: int) -> None:
+        # A few landing dates per cycle.
+        for row in lines.select("date").distinct().collect():
+            refresh_alert_gold(spark, lake, row["date"])
+
+    return (
+        source.bronze_stream(spark, lake.bronze, "alerts", max_files)
+        .writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint("alerts"))
+        .outputMode("update")
+    )
+
+
+def quarantine_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
+    """Order lines that no job can use, with the reason, to a side table, each once."""
+    lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
+    return (
+        malformed_orders(lines)
+        .writeStream.format("parquet")
+        .option("path", lake.folder("quarantine", "orders"))
+        .option("checkpointLocation", lake.checkpoint("quarantine"))
+        .outputMode("append")
+    )
+
+
+GOLD_KEYS = {"trader_daily_activity": "trader_id", "asset_hourly_summary": "symbol"}
+
+
+def read_gold(spark: SparkSession, lake: Lake, table: str, schema: T.StructType) -> DataFrame:
+    """An aggregate table of the orders, without the marks of dates that lost all rows."""
+    rows = source.read_dated(spark, lake.gold(table), schema)
+    return rows.where(F.col(GOLD_KEYS[table]).isNotNull())
+
+
+def refresh_order_gold(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
+    """Recompute the order aggregates of some dates from the settled orders of those dates."""
     if not dates:
         return
-    silver = source.read_dated(spark, lake.silver("orders"), SILVER_ORDER, dates)
-    orders = lake_silver.merge_silver_orders(silver)
-    overwrite_dates(lake_gold.trader_daily_activity(orders), lake.gold("trader_daily_activity"))
-    overwrite_dates(lake_gold.asset_hourly_summary(orders), lake.gold("asset_hourly_summary"))
+    orders = current_orders(spark, lake, dates).cache()
+    days = spark.createDataFrame([(date,) for date in dates], "date string")
+    # Only dates present are replaced, so every date gets a row; the keyless ones are marks.
+    for name, build in (
+        ("trader_daily_activity", lake_gold.trader_daily_activity),
+        ("asset_hourly_summary", lake_gold.asset_hourly_summary),
+    ):
+        rows = build(orders).unionByName(days, allowMissingColumns=True)
+        overwrite_dates(rows, lake.gold(name))
+    orders.unpersist()
 
 
 def refresh_alert_gold(spark: SparkSession, lake: Lake, date: str) -> None:
@@ -128,16 +221,18 @@ def refresh_alert_gold(spark: SparkSession, lake: Lake, date: str) -> None:
 
 
 def rebuild_orders(spark: SparkSession, lake: Lake) -> None:
-    """Cleaned orders and their aggregates from all raw lines, each order settled as a whole.
+    """Settled orders and their aggregates from all raw lines, each order from its whole history.
 
-    The cycle merges an order's rows within a date. This job also settles orders that span
-    dates, by reading their complete history at once.
+    For a changed cleaning rule, or a lost checkpoint. It replaces whole tables and can be repeated
+    from the raw lines if it is interrupted.
     """
     lines = source.read_bronze(spark, lake.bronze, "orders")
     orders = lake_silver.silver_orders(
         parse_messages(lines, schemas.RAW_ORDER), keep_lifecycle=True
     )
-    replace_dated(orders, lake.silver("orders"))
-    settled = source.read_dated(spark, lake.silver("orders"), SILVER_ORDER)
+    marked = orders.withColumn("version", F.lit(REBUILT).cast("long")).withColumn("live", F.lit(True))
+    replace_dated(marked, lake.silver("orders"))
+    settled = current_orders(spark, lake).cache()
     replace_dated(lake_gold.trader_daily_activity(settled), lake.gold("trader_daily_activity"))
     replace_dated(lake_gold.asset_hourly_summary(settled), lake.gold("asset_hourly_summary"))
+    settled.unpersist()
