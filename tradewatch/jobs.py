@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tradewatch import schemas
 from tradewatch.operators import export
-from tradewatch.operators.alerts import alert_messages
+from tradewatch.operators.alerts import alert_messages, alerts_since
 from tradewatch.params import ExportParams, LakeParams, SpoofingParams, WashParams
 from tradewatch.session import build_session, use_rocksdb_state
-from tradewatch.sinks.messages import topic_writer
+from tradewatch.sinks.lake import write_csv
+from tradewatch.sinks.messages import case_writer, topic_writer
 from tradewatch.sources import kafka
 from tradewatch.sources.lake import read_bronze
 from tradewatch.sources.messages import parse_alerts, parse_messages, parse_orders
@@ -104,6 +106,20 @@ def rebuild(spark: SparkSession, args: argparse.Namespace) -> None:
     lake.rebuild_orders(spark, lake.Lake(args.lake))
 
 
+def case_store(spark: SparkSession, args: argparse.Namespace) -> None:
+    """A case in the database at --url for every alert of the stream."""
+    alerts = parse_alerts(_source(spark, args, ["alerts"]))
+    _run(case_writer(alerts, args.url, args.checkpoint), args)
+
+
+def recent_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The alerts that the broker received since --date, as CSV."""
+    since = datetime.fromisoformat(args.date).replace(tzinfo=timezone.utc)
+    alerts = parse_alerts(kafka.topic_since(spark, args.servers, ["alerts"], since))
+    found = alerts_since(alerts, F.lit(args.date).cast("timestamp"))
+    write_csv(found.select(*schemas.ALERT_CSV.fieldNames()), args.out)
+
+
 def snapshots(spark: SparkSession, args: argparse.Namespace) -> None:
     """Alerts, orders and trade legs of the raw lake as CSV; with --limit the newest of each."""
     bronze = lake.Lake(args.lake).bronze
@@ -135,6 +151,8 @@ JOBS = {
     "quarantine": quarantine,
     "alert-gold": alert_gold,
     "rebuild": rebuild,
+    "case-store": case_store,
+    "recent-alerts": recent_alerts,
     "snapshots": snapshots,
     "catalog": rebuild_catalog,
 }
@@ -150,6 +168,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", help="checkpoint folder of a detector")
     parser.add_argument("--lake", help="root folder of the lake")
     parser.add_argument("--max-files", type=int, help="raw files per cycle")
+    parser.add_argument("--url", help="JDBC address of the case store")
     parser.add_argument("--limit", type=int, help="rows per snapshot")
     parser.add_argument("--date", help="landing date, yyyy-MM-dd")
     parser.add_argument("--prefix", default="", help="prefix of the layer schemas")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewatch import schemas
 
+BLOCK = 2016  # buckets that are sequenced together: a week of five minutes
 CRYPTO_PREFIX = "BINANCE:"
 CRYPTO_TOPIC = "market-data-crypto"
 STOCK_TOPIC = "market-data-stocks"
@@ -73,8 +74,8 @@ def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 300
 
     A window over whole symbols would put a busy symbol into one task. Both inputs are cut into
     time buckets, and each bucket starts from the last tick of the buckets before it. Those
-    opening ticks come from one row per symbol and bucket, so the sequence that runs over a
-    symbol's whole history grows with time and not with the number of orders or ticks.
+    opening ticks come from one row per symbol and bucket, sequenced week by week, so the only
+    sequence over a symbol's whole history has a row per week.
     """
     bucket = F.floor(F.col("at_ms") / F.lit(bucket_ms)).alias("bucket")
     timed_ticks = valid_ticks(ticks).where(F.col("timestamp_ms").isNotNull())
@@ -110,17 +111,28 @@ def order_vs_last_tick(orders: DataFrame, ticks: DataFrame, bucket_ms: int = 300
 
 
 def _opening_ticks(ticks: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per symbol and bucket in use, the last tick of the earlier buckets."""
+    """Per symbol and bucket in use, the last tick of the earlier buckets.
+
+    In two levels: blocks of BLOCK buckets within a symbol, then buckets within a block, so that no
+    task holds the buckets of a symbol's whole history.
+    """
     buckets = (
         ticks.unionByName(orders, allowMissingColumns=True)
         .groupBy("symbol", "bucket")
         .agg(F.max("tick").alias("closing"))
+        .withColumn("block", F.floor(F.col("bucket") / F.lit(BLOCK)))
+    )
+    blocks = buckets.groupBy("symbol", "block").agg(F.max("closing").alias("closing"))
+    opening = blocks.select("symbol", "block", _before("block", "symbol").alias("opening"))
+    within = buckets.withColumn("tick", _before("bucket", "symbol", "block"))
+    return (
+        within.join(opening, ["symbol", "block"])
+        .select("symbol", "bucket", F.coalesce("tick", "opening").alias("tick"))
+        .where(F.col("tick").isNotNull())
     )
-    earlier = (
-        Window.partitionBy("symbol")
-        .orderBy("bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return buckets.select(
-        "symbol", "bucket", F.last("closing", ignorenulls=True).over(earlier).alias("tick")
-    ).where(F.col("tick").isNotNull())
+
+
+def _before(order: str, *keys: str) -> Column:
+    """The closing tick of the nearest earlier row that has one."""
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.last("closing", ignorenulls=True).over(earlier)

@@ -843,7 +843,10 @@ ORACLES["alert_summary_cycle"] = ORACLES["alert_summary"].replace(
     "SELECT alert_type, count(*) AS total_alerts",
     "SELECT '2024-02-01' AS date, alert_type, count(*) AS total_alerts",
 )
-ORACLES["catalog_trades_table"] = ORACLES["silver_trades_catalog"]
+# An empty field of a snapshot is read as NULL.
+ORACLES["catalog_trades_table"] = (
+    f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS order_id) FROM ({ORACLES['silver_trades_catalog']})"
+)
 # The same rows; the query puts them in the order of display.
 ORACLES["trader_risk_ranking"] = ORACLES["trader_risk_summary"]
 ORACLES["asset_activity_ranking"] = ORACLES["asset_alert_activity"]

@@ -68,12 +68,6 @@ LEG_CSV = _struct(
     side=STRING, price=DOUBLE, quantity=INT, timestamp=STRING,
 )
 
-TRADER_PROFILE = _struct(
-    trader_id=STRING, trader_name=STRING, trader_type=STRING, risk_rating=STRING,
-    avg_daily_orders=INT, avg_order_size=T.DecimalType(15, 2), registered_at=TIMESTAMP,
-    last_active=TIMESTAMP,
-)
-
 ALERT_CASE = _struct(
     alert_id=STRING, alert_type=STRING, severity=STRING, trader_id=STRING, asset=STRING,
     description=STRING, details=STRING, market_context=STRING, detected_at=TIMESTAMP,

@@ -8,19 +8,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from tradewatch.operators.cases import alert_case_rows
 
 
-def write_topic(messages: DataFrame, servers: str) -> None:
-    """Publish a batch of messages with topic, key and value columns."""
-    (
-        messages.select("topic", "key", "value")
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("kafka.acks", "all")
-        .save()
-    )
-
-
 def topic_writer(messages: DataFrame, servers: str, checkpoint: str) -> DataStreamWriter:
-    """The same for a stream; keyed messages of one key stay in order."""
+    """Publish messages with topic, key and value columns; those of one key stay in order."""
     return (
         messages.select("topic", "key", "value")
         .writeStream.format("kafka")
