@@ -32,6 +32,7 @@ RANK = 6
 SAMPLE_ROWS = 12_000
 THRESHOLD = 0.3
 EPOCHS = 8
+MIN_STEPS = 800  # batches; few rows are gone through more often
 STATISTICS = (
     "chars", "words", "word_length", "upper", "digit", "symbol", "mark", "high", "space", "lines",
     "line_length", "same_lines", "distinct", "top", "repeats", "ends_symbol", "short", "recorded",
@@ -163,7 +164,7 @@ def fit(word_rows: list, statistics: np.ndarray, labels: np.ndarray, seed: int =
     scaled = _standard(statistics, mean, scale)
     grown_bias, grown_linear, grown_factors = 1.0, np.full(FEATURES, 1e-2), np.full((FEATURES, RANK), 1e-2)
     rate, decay, own = 0.08, 1e-5, SLOTS + np.arange(len(STATISTICS))
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-MIN_STEPS * 64 // len(labels)))):
         order = random.permutation(len(labels))
         for low in range(0, len(order), 64):
             batch = order[low : low + 64]
