@@ -75,6 +75,34 @@ def test_edited_copies_are_found_and_others_left_alone(spark, make_docs):
     assert kept.columns == docs.columns
 
 
+def every(item, step, first=0):
+    """The item with every step-th word replaced."""
+    return " ".join(f"new{i}" if i % step == first else w for i, w in enumerate(item.split()))
+
+
+def test_copies_are_found_without_an_exact_one_elsewhere(spark, make_docs):
+    filler = " ".join(f"filler{i}" for i in range(80))
+    items = [(k, " ".join(f"w{k}x{i}" for i in range(15 + k))) for k in range(45)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    fifth = [(k, f"{filler} {every(item, 5, 4)} {filler}") for k, item in items]
+    # Copies that kept different words, and many documents with the first three words.
+    sixth = [(100 + k, f"{filler} {every(item, 6, k % 6)}") for k, item in items]
+    common = [(200 + i, f"{filler} w7x0 w7x1 w7x2") for i in range(20)]
+    found = {(r.doc_id, r.item_id) for r in decontam.matches(make_docs(*fifth), bench).collect()}
+    assert found == {(k, k) for k, _ in items}
+    found = {(r.doc_id, r.item_id) for r in decontam.matches(make_docs(*fifth, *sixth, *common), bench).collect()}
+    assert found == {(k, k) for k, _ in items} | {(100 + k, k) for k, _ in items}
+
+
+def test_words_in_common_bound_the_score():
+    rng = random.Random(4)
+    for _ in range(300):
+        item = np.array([rng.randrange(9) for _ in range(rng.randint(1, 12))])
+        passage = np.array([rng.randrange(9) for _ in range(rng.randint(1, 20))])
+        score = decontam.align(item, passage)
+        assert decontam.align_if(item, passage, score[0]) == score
+
+
 def test_awkward_and_empty(spark, awkward, empty):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     none = bench.filter("false")

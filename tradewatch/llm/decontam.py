@@ -1,12 +1,13 @@
-"""Passages of benchmark items in training texts: rare n-gram seeds, then Smith-Waterman alignment.
+"""Passages of benchmark items in training texts: n-gram seeds, then Smith-Waterman alignment.
 
-Every run of GRAM words of an item is counted over all documents. Of every WINDOW neighbouring
-n-grams the rarest one is a seed, so each stretch of an item is seeded however often it was copied,
-and common phrases are passed over. Seeds and documents meet in an equality join; a filter of fixed
-size drops most other n-grams inside the scan first, and what it lets through by chance fails the
-join. Around the seeds of a document lies a passage, long enough for the longest item, and the words
-of passage and item are aligned: a match counts 1, a mismatch or a gap -1. The score is the best
-local alignment over the length of the item, so edited and paraphrased copies count by what is left.
+Every run of GRAM words of an item is a seed, so what is found in a document does not depend on what
+others hold. Seeds and documents meet in an equality join; a filter of fixed size drops most other
+n-grams inside the scan first, and what it lets through by chance fails the join. Around the seeds
+of a document lies a passage, long enough for the longest item, and the words of passage and item
+are aligned: a match counts 1, a mismatch or a gap -1. The score is the best local alignment over
+the length of the item, so edited and paraphrased copies count by what is left. A passage that holds
+too few of an item's words for the score is not aligned. A copy without any run of GRAM words of its
+item, such as one with a word put in after every second word, meets no seed.
 
 A word is a run of ASCII letters, digits and non-ASCII characters, without case for A-Z.
 
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.llm import words as W
@@ -29,7 +30,6 @@ from tradewatch.llm.bits import bit_set, may_hold
 from tradewatch.llm.scratch import settle
 
 GRAM = 3
-WINDOW = 4
 MIN_SCORE = 0.5  # of an item's words, net of edits
 MIN_WORDS = 6  # that an alignment must be worth, or the whole item if it is shorter
 FILTER_BITS = 1 << 24  # 2 MB, whatever the number of items
@@ -70,41 +70,9 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def document_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, df): in how many documents each n-gram of column gram is."""
-    sent = docs.sparkSession.sparkContext.broadcast(bit_set(grams, F.col("gram"), FILTER_BITS))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in W.chunks(batch.column("text")):
-                found = W.hash_words(chunk, W.PLAIN)
-                first, gram = W.grams(found, GRAM)
-                hit = np.flatnonzero(may_hold(sent.value, gram))
-                pairs = np.unique(np.stack([gram[hit].view(np.int64), found.row[first[hit]]], 1), axis=0)
-                value, n = np.unique(pairs[:, 0], return_counts=True)
-                yield pa.record_batch([pa.array(value), pa.array(n)], names=["gram", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "gram long, n long")
-    return grams.select("gram").distinct().join(
-        counted.groupBy("gram").agg(F.sum("n").alias("df")), "gram"
-    )
-
-
-def choose_seeds(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """(item, gram): of every WINDOW neighbouring n-grams of an item the rarest in the documents."""
-    grams = items.select("item", F.posexplode("grams").alias("at", "gram"))
-    ranked = grams.join(document_counts(docs, grams), "gram", "left").withColumn(
-        "rank", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")
-    )
-    # One item's n-grams: bounded by its length.
-    ahead = Window.partitionBy("item").orderBy("at").rowsBetween(0, WINDOW - 1)
-    size = Window.partitionBy("item")
-    chosen = ranked.withColumn("least", F.min("rank").over(ahead)).withColumn(
-        "n", F.count("*").over(size)
-    )
-    # Windows cut short at the item's end lie within the last whole one.
-    whole = (F.col("at") + WINDOW <= F.col("n")) | (F.col("at") == 0)
-    return settle(chosen.filter(whole).select("item", F.col("least.gram").alias("gram")).distinct())
+def seeds_of(items: DataFrame) -> DataFrame:
+    """(item, gram): every n-gram of every item, so any run of GRAM words that a copy kept is met."""
+    return settle(items.select("item", F.explode(F.array_distinct("grams")).alias("gram")))
 
 
 def passages(docs: DataFrame, seeds: DataFrame, longest: int) -> DataFrame:
@@ -192,9 +160,15 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _aligned(items: pa.Array, texts: pa.Array) -> pa.Array:
+def align_if(item: np.ndarray, passage: np.ndarray, floor: float) -> tuple[int, int, int]:
+    """As align, but zeros if the passage holds fewer of the item's words than the score must reach."""
+    return align(item, passage) if np.isin(item, passage).sum() >= floor else (0, 0, 0)
+
+
+def _aligned(items: pa.Array, texts: pa.Array, floors: pa.Array) -> pa.Array:
     found = [
-        align(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(items, texts, strict=True)
+        align_if(a.values.to_numpy(), b.values.to_numpy(), c.as_py())
+        for a, b, c in zip(items, texts, floors, strict=True)
     ]
     return pa.array(
         [dict(zip(("score", "low", "high"), f, strict=True)) for f in found],
@@ -209,7 +183,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE)
     """
     items = items_of(benchmark)
     longest = items.agg(F.max(F.size("words"))).first()[0] or 0
-    seeds = choose_seeds(items, docs)
+    seeds = seeds_of(items)
     found = passages(docs, seeds, longest)
     pairs = (
         found.select("passage", F.explode(F.array_distinct("grams")).alias("gram"))
@@ -219,12 +193,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE)
     )
     aligned = F.arrow_udf(_aligned, "struct<score:int,low:int,high:int>")
     size = F.size("item_words")
-    floor = F.greatest(min_score * size, F.least(size, F.lit(MIN_WORDS)))
+    floor = F.greatest(min_score * size, F.least(size, F.lit(MIN_WORDS))).cast("double")
     best = F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start")))
     return (
         pairs.join(found.drop("grams"), "passage")
         .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
-        .withColumn("at", aligned("item_words", "words"))
+        .withColumn("at", aligned("item_words", "words", floor))
         .filter(F.col("at.score") >= floor)
         .select(
             "row",
