@@ -44,3 +44,15 @@ def test_root_licence_and_empty_table(spark, awkward, empty):
     path = awkward.selectExpr("*", "source as path")
     assert licences.scan(path).count() == awkward.count()
     assert licences.scan(empty.selectExpr("*", "source as path")).count() == 0
+
+
+def test_common_notices_and_small_tables_count(spark):
+    mit = licences.TEMPLATES["MIT"]
+    rows = [(i, f"d{i % 9}/f{i}", mit if i % 3 == 0 else f"plain{i}") for i in range(90)]
+    got = {r.doc_id: (r.licence, r.origin) for r in licences.scan(files(spark, *rows)).collect()}
+    assert {got[i] for i in range(0, 90, 3)} == {("MIT", "own")}
+    assert {got[i][0] for i in range(90) if i % 9 in (1, 2)} == {None}
+    pair = [(1, "a/LICENSE", mit), (2, "a/b/x", "plain")]
+    got = {r.doc_id: (r.licence, r.origin) for r in licences.scan(files(spark, *pair)).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited")}
+    assert [r.licence for r in licences.scan(files(spark, *pair[:1])).collect()] == ["MIT"]

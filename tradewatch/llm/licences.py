@@ -3,8 +3,8 @@
 Every line of a text is a candidate header, and a whole short text a candidate licence file; each is
 a sparse TF-IDF vector that is compared with the vectors of the templates. Document frequencies of
 the templates' words are counted over all texts; other words weigh like words of one text, so a
-notice inside a long sentence scores lower than a notice alone. Lines without a rare template word,
-one that at most a fifth of all texts hold, are no notices.
+notice inside a long sentence scores lower than a notice alone. Units without any template word are
+passed over.
 
 A file that opens or closes with a notice, or is one as a whole, licenses its directory. Files
 without a licence of their own take that of the nearest directory above them that has one: the
@@ -66,7 +66,6 @@ class Weights(NamedTuple):
     idf: np.ndarray
     other: float
     vectors: np.ndarray
-    rare: np.ndarray
 
 
 def _chunk(texts: list[str]) -> W.Chunk:
@@ -117,16 +116,14 @@ def weigh(terms: Terms, rows: int, df: np.ndarray) -> Weights:
     idf = np.log((rows + 1) / (df + 1)) + 1
     vectors = (1 + np.log(np.maximum(terms.counts, 1))) * (terms.counts > 0) * idf[:, None]
     vectors /= np.linalg.norm(vectors, axis=0)
-    return Weights(terms, idf, float(np.log((rows + 1) / 2) + 1), vectors, df * 5 <= rows)
+    return Weights(terms, idf, float(np.log((rows + 1) / 2) + 1), vectors)
 
 
 def best_match(weights: Weights, unit: np.ndarray, hashes: np.ndarray, units: int):
     """Template and cosine of each unit (a line or text); unit: that of each word."""
     best, score = np.full(units, -1), np.zeros(units)
     at = _place(weights.terms, hashes)
-    rare = np.zeros(len(weights.idf) + 1, bool)
-    rare[:-1] = weights.rare
-    hot = np.bincount(unit, rare[at], units) > 0
+    hot = np.bincount(unit, at >= 0, units) > 0
     take = hot[unit]
     unit, at, hashes = unit[take], at[take], hashes[take]
     if not len(unit):
