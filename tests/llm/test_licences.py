@@ -1,3 +1,5 @@
+import numpy as np
+
 from tradewatch.llm import licences
 
 FILE = "doc_id long, path string, text string, notice string, found int"
@@ -56,3 +58,41 @@ def test_common_notices_and_small_tables_count(spark):
     got = {r.doc_id: (r.licence, r.origin) for r in licences.scan(files(spark, *pair)).collect()}
     assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited")}
     assert [r.licence for r in licences.scan(files(spark, *pair[:1])).collect()] == ["MIT"]
+
+
+def test_wrapped_notices_in_texts_of_every_length(spark):
+    prose = "\n".join(f"words{i} of the{i} story told{i}" for i in range(600))
+    head = "# Licensed\n# under the\n#\n# Apache License,\n# Version 2.0."
+    rows = [(1, "a/x", f"{head}\n{prose}"), (2, "b/x", f"{prose}\n{head}\n{prose}"), (3, "c/x", f"{head}"), (4, "d/x", prose)]
+    # One word on each line, and as one text with another notice.
+    words = "\n".join(licences.TEMPLATES["LGPL-3.0"].split())
+    rows += [(5, "e/x", f"{prose}\n{words}"), (6, "e/y", "plain")]
+    got = {r.doc_id: r for r in licences.scan(files(spark, *rows)).collect()}
+    assert [got[i].licence for i in (1, 2, 3)] == ["Apache-2.0"] * 3 and got[4].licence is None
+    assert got[1].line == 1 and got[2].line == 601 and min(got[i].cosine for i in (1, 2, 3)) > 0.99
+    assert (got[5].licence, got[6].licence, got[6].origin) == ("LGPL-3.0", "LGPL-3.0", "inherited")
+
+
+def test_whole_licence_files_name_themselves(spark):
+    full = licences.full_texts()
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "MIT"} <= set(full) <= set(licences.TEMPLATES)
+    # Without line ends, so that no line alone is a notice.
+    rows = [(i, f"{name}/LICENSE", " ".join(text.split())) for i, (name, text) in enumerate(full.items())]
+    rows += [(100, "GPL-3.0/a/b.txt", "plain")] + [(101 + i, f"z{i}/p", f"some other words{i} of the story") for i in range(50)]
+    got = {r.doc_id: r.licence for r in licences.scan(files(spark, *rows)).collect()}
+    assert [got[i] for i in range(len(full))] == list(full)
+    assert got[100] == "GPL-3.0" and {got[101 + i] for i in range(50)} == {None}
+
+
+def test_no_unit_is_passed_over_that_reaches_the_cosine(monkeypatch):
+    rng = np.random.default_rng(3)
+    terms = licences.terms_of(licences.TEMPLATES)
+    weights = licences.weigh(terms, 1000, rng.integers(1, 900, len(terms.words)))
+    pool = np.append(terms.words[terms.counts[:, 0] > 0], np.arange(3, dtype=np.uint64))
+    unit = np.sort(rng.integers(0, 3000, 30000))
+    hashes = pool[np.minimum(rng.integers(0, len(pool) + 4, len(unit)), len(pool) - 1)]
+    best, cosine = licences.best_match(weights, unit, hashes, 3000)
+    monkeypatch.setattr(licences, "may_match", lambda weights, known, others: known > 0)
+    all_best, all_cosine = licences.best_match(weights, unit, hashes, 3000)
+    high = all_cosine >= licences.MIN_COSINE
+    assert high.sum() > 20 and (cosine[high] == all_cosine[high]).all() and (best[high] == all_best[high]).all()

@@ -1,10 +1,10 @@
 """Licences of files by TF-IDF cosine to templates, inherited along directories.
 
-Every line of a text is a candidate header, and a whole short text a candidate licence file; each is
-a sparse TF-IDF vector that is compared with the vectors of the templates. Document frequencies of
-the templates' words are counted over all texts; other words weigh like words of one text, so a
-notice inside a long sentence scores lower than a notice alone. Units without any template word are
-passed over.
+Every line of a text, every run of lines in which a notice may be wrapped, and every whole text is a
+unit: a sparse TF-IDF vector that is compared with the vectors of the notices; whole texts are also
+compared with the full texts of licences. Document frequencies of the templates' words are counted
+over all texts; other words weigh like words of one text, so a notice inside a long sentence scores
+lower than a notice alone. A unit is passed over only if its words cannot reach MIN_COSINE.
 
 A file that opens or closes with a notice, or is one as a whole, licenses its directory. Files
 without a licence of their own take that of the nearest directory above them that has one: the
@@ -19,6 +19,7 @@ repeated; an empty table gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,7 @@ from tradewatch.llm import words as W
 from tradewatch.llm.scratch import settle
 
 MIN_COSINE = 0.6
-FILE_BYTES = 4096  # a licence file is not much longer than its template
+FULL_TEXTS = Path(__file__).parent / "licence_texts"
 
 # Short notices of common licences.
 TEMPLATES = {
@@ -72,6 +73,11 @@ def _chunk(texts: list[str]) -> W.Chunk:
     return next(W.chunks(pa.array(texts, pa.string())))
 
 
+def full_texts() -> dict[str, str]:
+    """The whole texts of licences by name, read in the driver."""
+    return {p.stem: p.read_text("utf-8") for p in sorted(FULL_TEXTS.glob("*.txt"))}
+
+
 def terms_of(templates: dict[str, str]) -> Terms:
     names = sorted(templates)
     found = W.hash_words(_chunk([templates[n] for n in names]), W.PLAIN)
@@ -119,11 +125,32 @@ def weigh(terms: Terms, rows: int, df: np.ndarray) -> Weights:
     return Weights(terms, idf, float(np.log((rows + 1) / 2) + 1), vectors)
 
 
+def _damped(n: np.ndarray) -> np.ndarray:
+    return (1 + np.log(np.maximum(n, 1))) ** 2 * (n > 0)
+
+
+def may_match(weights: Weights, known: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether units can reach MIN_COSINE by the sum of idf**2 over their template words and the
+    number of their other words, repeated ones included.
+
+    By Cauchy-Schwarz the squared cosine is at most the template words' share of the squared norm.
+    A word that is there c times adds (1 + log c)**2, which is at most 4 / e * c; as that is concave,
+    n other words add the least if they are all different or all the same.
+    """
+    least = weights.other**2 * np.minimum(others, _damped(others))
+    most = 4 / np.e * known
+    return (known > 0) & (most * (1 - MIN_COSINE**2) >= MIN_COSINE**2 * least * (1 - 1e-6))
+
+
 def best_match(weights: Weights, unit: np.ndarray, hashes: np.ndarray, units: int):
-    """Template and cosine of each unit (a line or text); unit: that of each word."""
+    """Template and cosine of each unit (lines or a text); unit: that of each word, in order.
+
+    Units that cannot reach MIN_COSINE have template -1 and cosine 0.
+    """
     best, score = np.full(units, -1), np.zeros(units)
     at = _place(weights.terms, hashes)
-    hot = np.bincount(unit, at >= 0, units) > 0
+    square = np.where(at >= 0, weights.idf[at] ** 2, 0)
+    hot = may_match(weights, np.bincount(unit, square, units), np.bincount(unit, at < 0, units))
     take = hot[unit]
     unit, at, hashes = unit[take], at[take], hashes[take]
     if not len(unit):
@@ -138,47 +165,87 @@ def best_match(weights: Weights, unit: np.ndarray, hashes: np.ndarray, units: in
     weight = tf * np.where(at >= 0, weights.idf[at], weights.other)
     norm = np.sqrt(np.bincount(unit, weight**2, units))
     known = at >= 0
-    dots = np.zeros((units, len(weights.terms.names)))
-    np.add.at(dots, unit[known], weights.vectors[at[known]] * weight[known, None])
-    cosine = dots / np.maximum(norm, 1e-12)[:, None]
-    best[hot] = cosine[hot].argmax(axis=1)
-    score[hot] = np.round(cosine[hot].max(axis=1), 9)
+    unit, weight, at = unit[known], weight[known], at[known]
+    first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    dots = np.add.reduceat(weights.vectors[at] * weight[:, None], first, axis=0)
+    cosine = dots / np.maximum(norm[unit[first]], 1e-12)[:, None]
+    best[unit[first]] = cosine.argmax(axis=1)
+    score[unit[first]] = np.round(cosine.max(axis=1), 9)
     return best, score
 
 
+def _runs(weights: Weights, line: np.ndarray, hashes: np.ndarray, row_of: np.ndarray):
+    """First and last line, and first and last word + 1, of runs of lines that may hold a notice.
+
+    line: that of each word; row_of: the text of each line. Lines without words do not count. A run
+    begins and ends with a template word's line, as its cosine is lower otherwise, and has as many
+    lines as the longest template words at most.
+    """
+    begin = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else line
+    own, end = line[begin], np.append(begin[1:], len(line))
+    row = row_of[own]
+    at = _place(weights.terms, hashes)
+    known = np.append(0, np.cumsum(np.where(at >= 0, weights.idf[at] ** 2, 0)))
+    others = np.append(0, np.cumsum(at < 0))
+    notes = end - begin - (others[end] - others[begin]) > 0
+    found = []
+    for more in range(1, int(weights.terms.counts.sum(axis=0).max())):
+        if more >= len(begin):
+            break
+        low = np.flatnonzero((row[more:] == row[:-more]) & notes[more:] & notes[:-more])
+        a, b = begin[low], end[low + more]
+        low = low[may_match(weights, known[b] - known[a] + 1e-9, others[b] - others[a])]
+        found.append(np.stack([own[low], own[low + more], begin[low], end[low + more]]))
+    return np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
+
+
 def _notice(licence: str, cosine: float, line: int, edge: bool) -> dict:
     return {"licence": licence, "cosine": float(cosine), "line": line, "edge": edge}
 
 
 def with_notice(files: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """Add notice: struct of licence, cosine, line (0 for a whole file, else from 1) and whether it
-    is an edge (whole file, first or last line); null if none."""
-    terms = terms_of(templates or TEMPLATES)
-    weights = weigh(terms, *count_terms(files, terms))
+    """Add notice: struct of licence, cosine, line (0 for a whole file, else from 1; the first of
+    several lines) and whether it is an edge (whole file, or with the first or last line); null if
+    none."""
+    short = terms_of(templates or TEMPLATES)
+    long = terms_of(full_texts())
+    words = np.union1d(short.words, long.words)
+    rows, df = count_terms(files, Terms([], words, np.zeros((len(words), 0))))
+    weights = weigh(short, rows, df[np.searchsorted(words, short.words)])
+    whole = weigh(long, rows, df[np.searchsorted(words, long.words)])
 
     def notices(texts: pa.Array) -> pa.Array:
-        names, out = weights.terms.names, []
+        out = []
         for chunk in W.chunks(texts):
             words = W.hash_words(chunk, W.PLAIN)
             lines = W.hash_words(chunk, W.LINES)
             line = np.searchsorted(lines.start, words.start, side="right") - 1
-            by_line = best_match(weights, line, words.hash, len(lines.start))
-            short = np.diff(chunk.offset) <= FILE_BYTES
-            own = short[words.row]
-            by_text = best_match(weights, words.row[own], words.hash[own], chunk.rows)
-            found: list[dict | None] = [None] * chunk.rows
             first = np.searchsorted(lines.row, np.arange(chunk.rows))
             last = np.searchsorted(lines.row, np.arange(chunk.rows), side="right") - 1
-            for i in np.flatnonzero(by_line[1] >= MIN_COSINE):
-                row, old = lines.row[i], found[lines.row[i]]
-                if old is None or by_line[1][i] > old["cosine"]:
-                    place = int(i - first[row]) + 1
-                    edge = bool(place == 1 or i == last[row])
-                    found[row] = _notice(names[by_line[0][i]], by_line[1][i], place, edge)
-            for row in np.flatnonzero(by_text[1] >= MIN_COSINE):
-                old = found[row]
-                if old is None or by_text[1][row] > old["cosine"]:
-                    found[row] = _notice(names[by_text[0][row]], by_text[1][row], 0, True)
+            found: list[dict | None] = [None] * chunk.rows
+
+            def offer(row, names, name, cosine, line, edge, found=found):
+                if found[row] is None or cosine > found[row]["cosine"]:
+                    found[row] = _notice(names[name], cosine, line, edge)
+
+            best, cosine = best_match(weights, line, words.hash, len(lines.start))
+            for i in np.flatnonzero(cosine >= MIN_COSINE):
+                row = lines.row[i]
+                edge = bool(i == first[row] or i == last[row])
+                offer(row, short.names, best[i], cosine[i], int(i - first[row]) + 1, edge)
+            low, high, begin, end = _runs(weights, line, words.hash, lines.row)
+            size = end - begin
+            inner = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+            unit = np.repeat(np.arange(len(size)), size)
+            best, cosine = best_match(weights, unit, words.hash[inner], len(size))
+            for i in np.flatnonzero(cosine >= MIN_COSINE):
+                row = lines.row[low[i]]
+                edge = bool(low[i] == first[row] or high[i] == last[row])
+                offer(row, short.names, best[i], cosine[i], int(low[i] - first[row]) + 1, edge)
+            for kind in (weights, whole):
+                best, cosine = best_match(kind, words.row, words.hash, chunk.rows)
+                for row in np.flatnonzero(cosine >= MIN_COSINE):
+                    offer(row, kind.terms.names, best[row], cosine[row], 0, True)
             out += found
         kind = pa.struct(
             [("licence", pa.string()), ("cosine", pa.float64()), ("line", pa.int64()), ("edge", pa.bool_())]
