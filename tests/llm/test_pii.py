@@ -68,6 +68,40 @@ def test_context_discovers_unseen_identifiers(make_docs):
     assert cut[10].text == "please write to [EMAIL] today" and cut[10].n_chars == len(cut[10].text)
 
 
+def carded(i):
+    """A card number of four groups that passes the check sum."""
+    body = f"4111 1111 1111 {i:03d}"
+    return next(f"{body}{d}" for d in range(10) if luhn(f"{body}{d}".replace(" ", "")))
+
+
+def test_context_discovers_identifiers_with_spaces_and_long_ones(make_docs):
+    phones = [(100 + i, f"please call us under +49 30 12345{i:02d} after noon") for i in range(40)]
+    cards = [(200 + i, f"my credit card {carded(i)} was stolen") for i in range(40)]
+    mails = [(300 + i, f"kindly write to person{i}@mail.example.org today") for i in range(40)]
+    long = "ü" * 120 + "@intranet"
+    hidden = {
+        30: ("please call us under {} after noon", "030 123 4567", "phone"),
+        31: ("please call us under {} after noon", "0171 234 56 78", "phone"),
+        32: ("please call us under {} after noon", "(407) 555-7710", "phone"),
+        33: ("my credit card {} was stolen", "4111 1111 1111 1112", "card"),
+        34: ("kindly write to {} today", long, "email"),
+        # Beside a base span, and in brackets.
+        35: ("1.2.3.4 please call us under {} 1.2.3.4 after noon", "030 123 4568", "phone"),
+        36: ("please call us under ({}) after noon", "030-123-4569", "phone"),
+    }
+    rows = [(k, form.format(value)) for k, (form, value, _) in hidden.items()]
+    other = [(40, "in 1999 2000 2001 it rained"), (41, "room 4 on floor 12 - 7")]
+    docs = make_docs(*phones, *cards, *mails, *rows, *other)
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    cut = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    for k, (form, value, kind) in hidden.items():
+        start = form.index("{}")
+        assert (kind, start, start + len(value)) in {tuple(s) for s in found[k].spans}, value
+        assert sum(s.kind == kind for s in found[k].spans) == 1
+        assert cut[k] == form.format(f"[{kind.upper()}]").replace("1.2.3.4", "[IP]")
+    assert [list(found[k].spans) for k in (40, 41)] == [[], []]
+
+
 def test_awkward_and_empty(awkward, empty):
     rows = pii.find(awkward).collect()
     assert len(rows) == awkward.count()

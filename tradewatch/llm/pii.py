@@ -7,8 +7,10 @@ be of that kind, an identifier's score joins the confidences of its patterns, an
 reach MIN_SCORE count as known in the next round. Patterns that end with MIN_CONFIDENCE then mark
 every identifier of the kind's looser form that they enclose, also such as no fixed form matches.
 
-The graph covers all documents; only identifiers (words with a digit or an @) enter it. Nothing is
-collected: patterns reach the mentions by an equality join.
+The graph covers all documents; only identifiers enter it: words with a digit or an @, and runs of
+digit groups joined by spaces, dots, dashes and brackets, of whatever length. A word within a run
+that has its kind is part of the run. Nothing is collected: patterns reach the mentions by an
+equality join.
 
 Defined results: a null text is an empty text without spans; positions are code points, end
 exclusive; overlapping spans of different kinds are all reported, and are redacted as one; repeated
@@ -40,6 +42,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 _CANDIDATE = re.compile(r"[^\s]*[0-9@][^\s]*")
+# Digit groups within one line; the lookarounds keep parts of words out.
+_RUN = re.compile(r"(?<![\w@.+-])[+(]?[0-9]++(?:[\x20().-]{1,3}[0-9]++)+(?![\w@])")
 _EDGE = "\"'()[]{}<>,.;:!?#$%&*|="
 _WORD = re.compile(r"[^\s]+")
 _NEAR = 80  # characters on either side that can hold the words of a pattern
@@ -125,21 +129,44 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def _runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, list[str]]]:
+    """Runs of digit groups between the taken spans that have a loose form: start, end and kinds."""
+    found, low = [], 0
+    for high, after in [*taken, (len(text), len(text))]:
+        for m in _RUN.finditer(text, low, max(low, high)):
+            start, end = m.span()
+            if text[start] == "(" and ")" not in m.group():
+                start += 1
+            kinds = loose_kinds(text[start:end])
+            if kinds:
+                found.append((start, end, kinds))
+        low = max(low, after)
+    return found
+
+
 def mentions(text: str) -> list[dict]:
     """Base spans, and other identifiers with a loose form, with their value and patterns."""
     out, base = [], base_spans(text)
     for kind, start, end in base:
         out.append((kind, True, start, end))
     taken = sorted((start, end) for _, start, end in base)
+    runs = _runs(text, taken)
+    out += [(kind, False, start, end) for start, end, kinds in runs for kind in kinds]
+    at = now = 0
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
         while start < end and text[start] in _EDGE:
             start += 1
         while end > start and text[end - 1] in _EDGE:
             end -= 1
-        if end - start > 100 or any(s < end and start < e for s, e in taken):
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if any(s < end and start < e for s, e in taken[at : at + 1]):
             continue
-        out += [(kind, False, start, end) for kind in loose_kinds(text[start:end])]
+        while now < len(runs) and runs[now][1] <= start:
+            now += 1
+        within = runs[now][2] if now < len(runs) and runs[now][0] <= start and end <= runs[now][1] else []
+        out += [(kind, False, start, end) for kind in loose_kinds(text[start:end]) if kind not in within]
     return [
         {
             "kind": kind,
