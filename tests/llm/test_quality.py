@@ -59,3 +59,14 @@ def test_without_labels_or_documents(spark, awkward, empty):
     assert {r.score for r in quality.classify(awkward, labels).collect()} == {0.5}
     assert quality.classify(empty, labels).count() == 0
     assert quality.keep_good(awkward, labels).columns == awkward.columns
+
+
+def test_a_repeated_id_is_learned_once(spark, make_docs, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda rows, statistics, y: fitted.append((len(rows), statistics.tolist(), y.tolist())))
+    docs = [(i, f"text number {i} of some") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    quality.train(make_docs(*docs), labels)
+    quality.train(make_docs(*docs, *[(3, "text number 3 of some")] * 200), labels)
+    quality.train(make_docs(*docs, *[(1 + i % 2, f"other text {i}") for i in range(100)]), labels)
+    assert 0 < fitted[0][0] < 40 and fitted[1] == fitted[0] and fitted[2][0] == fitted[0][0]

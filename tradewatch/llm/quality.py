@@ -230,7 +230,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most sample_rows labelled ids outside the held-out fifth."""
+    """Fit on at most sample_rows labelled ids outside the held-out fifth, one row of each.
+
+    Of the rows of an id that of the smallest text hash counts.
+    """
     known = (
         labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -239,7 +242,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .limit(sample_rows)
     )
     # At most sample_rows ids: safe to broadcast.
-    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(known), "doc_id")
+    # Folded in each task before the shuffle, so an id sends one row per task.
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "n_chars", "label"))
+    rows = (
+        docs.select("doc_id", "text", "n_chars")
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id")
+        .agg(least.alias("least"))
+        .select("least.*")
+    )
     table = (
         rows.select("label", "text", "n_chars")
         .mapInArrow(
