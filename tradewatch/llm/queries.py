@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, licences, neighbours, pii, quality, repeats, sharding, simhash, urls
+from tradewatch.llm import (
+    bpe,
+    byte_bpe,
+    decontam,
+    licences,
+    neighbours,
+    pii,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+    urls,
+)
 from tradewatch.llm.scratch import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +175,10 @@ def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", "source", "lang", shelf, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     found = licences.scan(docs.withColumn("path", path))
     return found.withColumn("cosine", F.round("cosine", 6))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the rank-file ids of every document and of the bytes they decode to."""
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.digests(spark, docs, byte_bpe.default_path(), byte_bpe.default_pattern())
