@@ -19,6 +19,7 @@ from tradewatch.llm import (
     sharding,
     simhash,
     urls,
+    whitening,
 )
 from tradewatch.llm.scratch import ship_package
 
@@ -182,3 +183,12 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the rank-file ids of every document and of the bytes they decode to."""
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.digests(spark, docs, byte_bpe.default_path(), byte_bpe.default_pattern())
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four components of largest variance, at unit variance."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
