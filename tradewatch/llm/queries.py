@@ -18,6 +18,7 @@ from tradewatch.llm import (
     repeats,
     sharding,
     simhash,
+    spelling,
     urls,
     whitening,
 )
@@ -192,3 +193,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
     )
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their commoner forms at one edit."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
