@@ -22,7 +22,11 @@ def library():
 
 @pytest.fixture(scope="module")
 def own():
-    return byte_bpe.Encoding(byte_bpe.read_ranks(byte_bpe.default_path()), byte_bpe.default_pattern())
+    return encoding(byte_bpe.read_ranks(byte_bpe.default_path()), byte_bpe.default_pattern())
+
+
+def encoding(ranks, pattern):
+    return byte_bpe.Encoding(byte_bpe.vocabulary(ranks), pattern)
 
 
 def odd_texts(seed, count):
@@ -54,14 +58,39 @@ def test_letters_are_those_of_the_library(own, library):
 def test_toy_ranks_need_backtracking():
     """The longest match abc does not suit d: bcd comes first, so abcd is a, bcd."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"bcd": 257, b"ab": 258, b"abc": 259}
-    toy = byte_bpe.Encoding(ranks, r"\S+|\s+")
+    toy = encoding(ranks, r"\S+|\s+")
     assert toy.encode("abcd").tolist() == [97, 257]
-    assert toy._merged(b"abcd") == [97, 257]
+    merged = lambda data: [ranks[part] for part in byte_bpe.merged(ranks, data)]
+    assert merged(b"abcd") == [97, 257]
     rng = random.Random(1)
     for _ in range(3000):
         text = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 12)))
         whole = ranks.get(text.encode())
-        assert toy.encode(text).tolist() == ([whole] if whole is not None else toy._merged(text.encode()))
+        assert toy.encode(text).tolist() == ([whole] if whole is not None else merged(text.encode()))
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_random_vocabularies(ordered):
+    """Labels made of earlier labels, and labels in any order, against merging pair by pair."""
+    rng = random.Random(8)
+    for _ in range(60):
+        ranks = {bytes([b]): b for b in range(256)}
+        made = [b"a", b"b", b"c"]
+        for _ in range(12):
+            label = rng.choice(made) + rng.choice(made)
+            if label not in ranks:
+                ranks[label] = len(ranks)
+                made.append(label)
+        if not ordered:
+            numbers = list(range(256, len(ranks)))
+            rng.shuffle(numbers)
+            ranks = {label: rank if rank < 256 else numbers[rank - 256] for label, rank in ranks.items()}
+        toy = encoding(ranks, r"\S+")
+        for _ in range(200):
+            text = "".join(rng.choice("abc") for _ in range(rng.randint(1, 14)))
+            whole = ranks.get(text.encode())
+            wanted = [ranks[part] for part in byte_bpe.merged(ranks, text.encode())]
+            assert toy.encode(text).tolist() == ([whole] if whole is not None else wanted)
 
 
 def test_a_long_piece_is_encoded_in_linear_time_and_not_remembered(own, library):

@@ -116,6 +116,6 @@ def test_awkward_rows(spark, awkward, empty):
 
 
 def test_very_long_run(spark, make_docs):
-    long = "q" * 300_000
+    long = "q" * 40_000
     found = rows_of(spelling.variants(make_docs(*[(i, f"{long} {long}r") for i in range(8)])))
     assert [(r[0][-2:], r[4]) for r in found] == [("qq", 1), ("qr", 1)]

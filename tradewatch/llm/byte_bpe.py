@@ -6,8 +6,8 @@ what their own bytes encode to: merges inside such a pair happen as they would a
 crosses its border. So a piece is covered by longest matches from its start; where a match does not
 suit the token before it, the next shorter label is tried, and where none suits, the token before is
 taken back and that place is closed for good. Every place is closed once at most, which makes the
-work linear in the piece; whether two tokens suit each other is found by merging their bytes once,
-and remembered.
+work linear in the piece; whether two tokens suit each other is found once, by undoing their merges
+along the border, and remembered.
 
 A piece that is a label as a whole has that id, also if merges could not make it. Text is cut into
 pieces by a pattern of letters and numbers as of Unicode 16.
@@ -20,9 +20,12 @@ no other column is read, so extra columns may have any names.
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from pathlib import Path
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -33,10 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 48 << 20  # bytes of pieces and of pairs, by estimate, that a process keeps of each
+REMEMBERED = 128 << 20  # bytes of pieces and of pairs, by estimate, that a process keeps of each
 LONG_PIECE = 200  # longer pieces are encoded anew each time
+NEVER = 1 << 62
 SLICE_BYTES = 4 << 20  # of text whose ids a task holds at once; a longer text is a slice of its own
-ENTRY = 160  # estimated bytes of an entry besides its text
+ENTRY = 240  # estimated bytes of an entry besides its text
 
 # Letters and numbers that Unicode 16 added.
 SINCE_16 = (
@@ -68,25 +72,30 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _newer_letters() -> str:
-    """Class of the letters and numbers of the regex library that Unicode 16 does not have."""
+def _newer_letters() -> list[tuple[int, int]]:
+    """Ranges of the letters and numbers of the regex library that Unicode 16 does not have."""
     known = {code for first, last in SINCE_16 for code in range(first, last + 1)}
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    codes = [
-        ord(c)
-        for c in regex.findall(r"[\p{L}\p{N}]", every)
-        if unicodedata.category(c) == "Cn" and ord(c) not in known
-    ]
+    ranges: list[tuple[int, int]] = []
+    for code in map(ord, regex.findall(r"[\p{L}\p{N}]", every)):
+        if unicodedata.category(chr(code)) == "Cn" and code not in known:
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1] = ranges[-1][0], code
+            else:
+                ranges.append((code, code))
     # U+10FFFF is no character; it keeps the class from being empty.
-    return "[" + "".join(f"\\U{code:08X}" for code in [*codes, 0x10FFFF]) + "]"
+    return [*ranges, (0x10FFFF, 0x10FFFF)]
 
 
 class Splitter:
     """Cuts text into the matches of a pattern, with letters and numbers as of Unicode 16."""
 
     def __init__(self, pattern: str):
-        newer = _newer_letters()
-        self._newer = regex.compile(newer).search
+        ranges = _newer_letters()
+        newer = "[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in ranges) + "]"
+        # Most texts end at this test, which is much faster than a class of many ranges.
+        self._beyond = re.compile(f"[\\U{ranges[0][0]:08X}-\U0010FFFF]").search
+        self._newer = re.compile(newer).search
         self._plain = regex.compile(pattern).findall
         careful = pattern
         for written, meant in (
@@ -98,7 +107,7 @@ class Splitter:
         self._careful = regex.compile(careful, regex.V1).findall
 
     def __call__(self, text: str) -> list[str]:
-        if text.isascii() or not self._newer(text):
+        if text.isascii() or not self._beyond(text) or not self._newer(text):
             return self._plain(text)
         return self._careful(text)
 
@@ -122,15 +131,52 @@ class _Memory(dict):
         return value
 
 
+def merged(ranks: dict[bytes, int], data: bytes, least: int = 1) -> list[bytes]:
+    """Labels by merging neighbours of least rank, leftmost first, while over `least` are left."""
+    parts = [data[i : i + 1] for i in range(len(data))]
+    while len(parts) > least:
+        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
+        best = min((r for r in pairs if r is not None), default=None)
+        if best is None:
+            break
+        at = pairs.index(best)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+class Vocabulary(NamedTuple):
+    """halves: the two labels each longer label is merged from, without labels that merges do not make.
+
+    ordered: whether every label comes after its halves, so that merges happen in the order of ranks.
+    """
+
+    ranks: dict[bytes, int]
+    halves: dict[int, tuple[int, int]]
+    ordered: bool
+
+
+def vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
+    halves, ordered = {}, True
+    for label, rank in ranks.items():
+        if len(label) > 1:
+            parts = merged(ranks, label, least=2)
+            if len(parts) == 2:
+                halves[rank] = ranks[parts[0]], ranks[parts[1]]
+                ordered &= all(len(part) == 1 or ranks[part] < rank for part in parts)
+    return Vocabulary(ranks, halves, ordered)
+
+
 class Encoding:
     """The compiled ranks. encode and decode take and give the ids of one text."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
+        self.ranks = ranks = vocabulary.ranks
+        self.halves, self.ordered = vocabulary.halves, vocabulary.ordered
         self.labels = {rank: label for label, rank in ranks.items()}
         self.split = Splitter(pattern)
         self.matches = ahocorasick.Automaton()
-        for label, rank in ranks.items():
+        self.made = {label: r for label, r in ranks.items() if len(label) == 1 or r in self.halves}
+        for label, rank in self.made.items():
             self.matches.add_word(label.decode("latin-1"), rank)
         self.matches.make_automaton()
         self._shift = max(self.labels).bit_length()
@@ -138,27 +184,39 @@ class Encoding:
         self.pieces = _Memory(self._piece)
         self.shorter: dict[int, int] = {}
 
-    def _merged(self, data: bytes) -> list[int]:
-        """Ids by merging neighbours of least rank, leftmost first; for the bytes of two labels."""
-        ranks = self.ranks
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = min((r for r in pairs if r is not None), default=None)
-            if best is None:
-                break
-            at = pairs.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[part] for part in parts]
-
     def _suits(self, pair: int) -> bool:
         left, right = pair >> self._shift, pair & ((1 << self._shift) - 1)
-        return self._merged(self.labels[left] + self.labels[right]) == [left, right]
+        if not self.ordered:
+            data = self.labels[left] + self.labels[right]
+            return merged(self.ranks, data) == [self.labels[left], self.labels[right]]
+        return self._border_holds(left, right)
+
+    def _border_holds(self, left: int, right: int) -> bool:
+        """Whether no merge crosses from the left to the right label.
+
+        Merges happen in the order of ranks here. Undone from the last on, they show every pair of parts that
+        ever meet at the border; one that is a label of its own is merged if its rank comes before the
+        merges that use its parts, and the left of two equal ranks goes first.
+        """
+        ranks, labels, halves = self.ranks, self.labels, self.halves
+        x, y = left, right
+        x_used = y_used = NEVER
+        while True:
+            crossing = ranks.get(labels[x] + labels[y])
+            if crossing is not None and crossing < x_used and crossing <= y_used:
+                return False
+            of_x, of_y = halves.get(x), halves.get(y)
+            if of_x is not None and (of_y is None or x > y):
+                x, x_used = of_x[1], x
+            elif of_y is not None:
+                y, y_used = of_y[0], y
+            else:
+                return True
 
     def _shorter(self, token: int) -> int:
         """The longest label that is a proper prefix of the token's label; -1 if there is none."""
         label = self.labels[token]
-        found = next((r for n in range(len(label) - 1, 0, -1) if (r := self.ranks.get(label[:n])) is not None), -1)
+        found = next((r for n in range(len(label) - 1, 0, -1) if (r := self.made.get(label[:n])) is not None), -1)
         self.shorter[token] = found
         return found
 
@@ -171,33 +229,34 @@ class Encoding:
         letters = data.decode("latin-1")
         path = [rank for _, rank in self.matches.iter_long(letters)]
         suits, shift = self.suits, self._shift
-        for left, right in zip(path, path[1:]):
+        left = path[0]
+        for place in range(1, len(path)):
+            right = path[place]
             if not suits[left << shift | right]:
-                path = self._backtracked(letters)
+                path = self._backtracked(letters, path[:place], right)
                 break
-        return np.array(path, "<i4").tobytes()
+            left = right
+        return array("i", path).tobytes()
 
-    def _backtracked(self, letters: str) -> list[int]:
+    def _backtracked(self, letters: str, path: list[int], token: int) -> list[int]:
+        """The encoding, from a beginning whose neighbours suit each other and a token to try next."""
         labels, suits, shorter, shift = self.labels, self.suits, self.shorter, self._shift
-        longest = [0] * len(letters)
-        for end, rank in self.matches.iter(letters):
-            # Ends rise, so the longest label from a place comes last.
-            longest[end + 1 - len(labels[rank])] = rank
-        is_open = bytearray(b"\1") * (len(letters) + 1)
-        path: list[int] = []
-        at, token = 0, longest[0]
+        longest = self.matches.iter_long
+        size = len(letters)
+        closed: set[int] = set()
+        at = sum(len(labels[t]) for t in path)
         while True:
             end = at + len(labels[token])
-            if is_open[end] and (not path or suits[path[-1] << shift | token]):
+            if end not in closed and (not path or suits[path[-1] << shift | token]):
                 path.append(token)
                 at = end
-                if at == len(letters):
+                if at == size:
                     return path
-                token = longest[at]
+                token = next(longest(letters, at))[1]
                 continue
             token = shorter[token] if token in shorter else self._shorter(token)
             if token < 0:
-                is_open[at] = 0
+                closed.add(at)
                 token = path.pop()
                 at -= len(labels[token])
 
@@ -220,14 +279,15 @@ class Codec:
     """Encodes and decodes columns. The ranks (about a megabyte) are broadcast."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
-        self._ranks = spark.sparkContext.broadcast(read_ranks(path))
+        self._sent = spark.sparkContext.broadcast(vocabulary(read_ranks(path)))
         self._pattern = pattern
 
     def _encoding(self):
-        sent, pattern = self._ranks, self._pattern
+        sent, pattern = self._sent, self._pattern
 
         def compiled() -> Encoding:
-            key = (pattern, len(sent.value), hash(frozenset(sent.value.items())))
+            ranks = sent.value.ranks
+            key = (pattern, len(ranks), hash(frozenset(ranks.items())))
             if key not in _compiled:
                 _compiled[key] = Encoding(sent.value, pattern)
             return _compiled[key]
