@@ -216,6 +216,52 @@ def test_cycles_of_any_size_give_the_same_tables(spark, lake, max_files):
     assert sorted(map(str, settled.collect())) == sorted(map(str, orders.collect()))
 
 
+def test_a_cycle_reads_nothing_of_the_settled_table(spark, lake):
+    """Its cost follows the new lines: the table of earlier cycles need not even be readable."""
+    parts = history(7)
+    land(spark, lake, "orders", *parts[0])
+    detectors.run_available(order_cycle_writer(spark, lake))
+    for folder, _, files in list(os.walk(lake.silver("orders"))):
+        for name in files:
+            if name.startswith("part-"):
+                with open(f"{folder}/{name}", "wb") as out:
+                    out.write(b"no longer Parquet")
+    for part in parts[2:]:
+        land(spark, lake, "orders", *part)
+        detectors.run_available(order_cycle_writer(spark, lake))
+    wanted = expected_activity(spark, lake)
+    found = gold(spark, lake, "trader_daily_activity", wanted.schema)
+    plain = lambda rows: sorted(str(sorted(r.asDict().items())) for r in rows)
+    assert plain(found) == plain(wanted.collect())
+
+
+def test_parts_taken_back_leave_nothing(spark):
+    ddl = "order_id string, date string, timestamp string, trader_id string, symbol string, status string, price double, quantity bigint, time_to_cancel_seconds double"
+    rng = random.Random(3)
+    rows = [
+        (
+            str(i), "2024-01-01", f"2024-01-01T{rng.randrange(3):02d}:00:00Z", rng.choice(["a", "b", None]), "S",
+            rng.choice(["filled", "cancelled", None]), rng.choice([0.01, 19.99, 123_456.78, None, 9e15]),
+            rng.choice([0, 7, 10**18]), rng.choice([None, 0.1, 86_400.000001]),
+        )
+        for i in range(60)
+    ]
+    orders = spark.createDataFrame(rows, ddl)
+    gone = spark.createDataFrame([(*r[:-2], r[-2] * 3, 5.5) for r in rows[:40]], ddl)
+    signed = orders.withColumn("sign", F.lit(1)).unionByName(gone.withColumn("sign", F.lit(1)))
+    back = gone.withColumn("sign", F.lit(-1))
+    for parts, added, whole in (
+        (lake_gold.activity_parts, lake_gold.activity_of_parts, lake_gold.trader_daily_activity),
+        (lake_gold.hourly_parts, lake_gold.hourly_of_parts, lake_gold.asset_hourly_summary),
+    ):
+        found = added(parts(signed).unionByName(parts(back))).collect()
+        small = added(parts(orders.withColumn("sign", F.lit(1)))).collect()
+        assert sorted(map(str, found)) == sorted(map(str, small))
+        keys = [c for c in whole(orders).columns if c not in ("price_volatility", "avg_price", "total_volume")]
+        pick = lambda rows: sorted(str([r[k] for k in keys]) for r in rows)
+        assert pick(found) == pick(whole(orders).collect())
+
+
 def test_repeated_cycle_changes_nothing(spark, lake):
     for part in history(5):
         land(spark, lake, "orders", *part)

@@ -79,7 +79,7 @@ def landing(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def orders(spark: SparkSession, args: argparse.Namespace) -> None:
-    writer = lake.order_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
+    writer = lake.order_cycle_writer(spark, lake.Lake(args.lake, args.generation), args.max_files)
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
@@ -103,7 +103,9 @@ def alert_gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def rebuild(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake.rebuild_orders(spark, lake.Lake(args.lake))
+    """Settle all raw lines anew beside the present order tables and name the new generation."""
+    anew = lake.rebuild_orders(spark, lake.Lake(args.lake, args.generation), args.max_files)
+    print(f"order tables rebuilt; go on with --generation {anew.generation}")
 
 
 def case_store(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -167,6 +169,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--out", help="output folder")
     parser.add_argument("--checkpoint", help="checkpoint folder of a detector")
     parser.add_argument("--lake", help="root folder of the lake")
+    parser.add_argument("--generation", type=int, default=0, help="of the order tables, by rebuilds")
     parser.add_argument("--max-files", type=int, help="raw files per cycle")
     parser.add_argument("--url", help="JDBC address of the case store")
     parser.add_argument("--limit", type=int, help="rows per snapshot")

@@ -838,6 +838,7 @@ ORACLES: dict[str, str] = {
         """,
     ),
 }
+ORACLES["lake_cycle_hourly"] = ORACLES["asset_hourly_summary"]
 ORACLES["silver_trades_cycle"] = ORACLES["silver_trades"]
 ORACLES["alert_summary_cycle"] = ORACLES["alert_summary"].replace(
     "SELECT alert_type, count(*) AS total_alerts",

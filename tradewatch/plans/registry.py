@@ -599,6 +599,14 @@ def lake_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_job.read_gold(spark, lake, "trader_daily_activity", schema)
 
 
+@query
+def lake_cycle_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly summary as the cycles leave it, from parts added and taken back."""
+    lake = _cycled_lake(spark, sf_dir, lake_job.order_cycle_writer)
+    schema = lake_gold.asset_hourly_summary(_silver(spark, sf_dir)).schema
+    return lake_job.read_gold(spark, lake, "asset_hourly_summary", schema)
+
+
 @query
 def lake_cycle_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settled orders as the cycles leave them."""

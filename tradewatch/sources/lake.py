@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,20 @@ def read_dated(
     return rows if dates is None else rows.where(F.col("date").isin(dates))
 
 
+def read_parts(spark: SparkSession, root: str, dates: list[str]) -> DataFrame | None:
+    """Parts of an aggregate of some dates; only the folders of those dates are listed."""
+    found = []
+    for date in dates:
+        try:
+            rows = spark.read.option("basePath", root).parquet(f"{root}/date={date}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found.append(rows.withColumn("date", F.col("date").cast("string")))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A snapshot with a header; an empty field is NULL."""
     return spark.read.schema(schema).csv(path, header=True, timestampFormat=CSV_TIMESTAMP)

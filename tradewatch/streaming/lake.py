@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,12 @@ from pyspark.sql.streaming import DataStreamWriter
 from tradewatch import schemas
 from tradewatch.functions.dedup import keep_latest
 from tradewatch.operators import lake_gold, lake_silver
-from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates, replace_dated
+from tradewatch.session import use_rocksdb_state
+from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates
 from tradewatch.sources import lake as source
 from tradewatch.sources.messages import malformed_orders, parse_alerts, parse_messages
+from tradewatch.streaming.detectors import run_available
+from tradewatch.streaming.order_state import order_changes
 
 SILVER_ORDER = T.StructType(
     [
@@ -38,7 +43,6 @@ SILVER_TRADE = T.StructType(
     ]
     + [T.StructField("event_at", T.TimestampType())]
 )
-REBUILT = -1  # version of rows written by a rebuild
 
 
 @dataclass(frozen=True)
@@ -46,6 +50,8 @@ class Lake:
     """Folders of one lake below a root that all executors share."""
 
     root: str
+    #: Of the order tables: which complete settlement of the raw lines they belong to.
+    generation: int = 0
 
     def folder(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -54,8 +60,16 @@ class Lake:
     def bronze(self) -> str:
         return self.folder("bronze")
 
+    def of_orders(self, name: str) -> str:
+        """The name of an order table or job in this generation."""
+        return f"{name}_g{self.generation}" if self.generation else name
+
     def silver(self, topic: str) -> str:
-        return self.folder("silver", topic)
+        return self.folder("silver", self.of_orders(topic) if topic == "orders" else topic)
+
+    def parts(self, table: str) -> str:
+        """Signed parts of an aggregate by date and cycle."""
+        return self.folder("parts", self.of_orders(table))
 
     def gold(self, table: str) -> str:
         return self.folder("gold", table)
@@ -76,17 +90,13 @@ def landing_writer(messages: DataFrame, lake: Lake, landed_at: Column | None = N
     )
 
 
-def current_orders(
-    spark: SparkSession, lake: Lake, dates: list[str] | None = None, before: int | None = None
-) -> DataFrame:
+def current_orders(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
     """The settled orders: one row per order, under the date of its latest event.
 
     Every cycle appends the orders it changed; the row of the last cycle counts. An order that moved
-    to another date leaves a row there that is not live. before: leave out that cycle and later ones.
+    to another date leaves a row there that is not live.
     """
     rows = source.read_dated(spark, lake.silver("orders"), SILVER_ORDER, dates)
-    if before is not None:
-        rows = rows.where(F.col("version") < before)
     latest = keep_latest(rows, ["date", "order_id"], [F.col("version")])
     return latest.where("live").drop("live", "version")
 
@@ -102,41 +112,81 @@ def order_cycle_writer(
 ) -> DataStreamWriter:
     """Settle the orders of newly landed lines and renew the aggregates of the dates they touch.
 
-    An order is settled with what earlier cycles knew of it, under whatever date, so the tables do
-    not depend on how lines fall into cycles. A repeated cycle writes the same rows again and reads
-    only those of earlier ones. max_files splits a large backlog into several cycles.
+    What is known of an order lies in the stream's state, so a cycle reads its new lines and the parts
+    of the dates they touch, never the settled table. The aggregates change by the difference between
+    an order's new and old row. Neither depends on how lines fall into cycles, and a repeated cycle
+    writes the same rows of the same version again. max_files splits a large backlog into several
+    cycles. The state needs the RocksDB provider, which this switches on for the session.
     """
+    use_rocksdb_state(spark)
     new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
 
-    def cycle(lines: DataFrame, batch_id: int) -> None:
-        fresh = lake_silver.silver_orders(
-            parse_messages(lines, schemas.RAW_ORDER), keep_lifecycle=True
-        ).cache()
-        earlier = current_orders(spark, lake, before=batch_id)
-        known = earlier.join(fresh.select("order_id"), "order_id", "left_semi").cache()
-        settled = lake_silver.merge_silver_orders(fresh.unionByName(known))
-        here = settled.select("order_id", F.col("date").alias("new_date"))
-        left = known.join(here, "order_id").where(F.col("date") != F.col("new_date"))
-        changed = (
-            settled.withColumn("live", F.lit(True))
-            .unionByName(left.drop("new_date").withColumn("live", F.lit(False)))
-            .withColumn("version", F.lit(batch_id).cast("long"))
-            .cache()
-        )
-        append_dated(changed, lake.silver("orders"))
-        # A few calendar days, however many rows.
-        dates = sorted(row["date"] for row in changed.select("date").distinct().collect())
-        for frame in (changed, known, fresh):
-            frame.unpersist()
+    def cycle(changes: DataFrame, batch_id: int) -> None:
+        changes = changes.persist()
+        append_dated(_settled_rows(changes, batch_id), lake.silver("orders"))
+        dates = _write_parts(changes, lake, batch_id)
+        changes.unpersist()
         refresh_order_gold(spark, lake, dates)
 
     return (
-        new_lines.writeStream.foreachBatch(cycle)
-        .option("checkpointLocation", lake.checkpoint("orders"))
+        order_changes(parse_messages(new_lines, schemas.RAW_ORDER))
+        .writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint(lake.of_orders("orders")))
         .outputMode("update")
     )
 
 
+def _settled_rows(changes: DataFrame, batch_id: int) -> DataFrame:
+    """New rows of the changed orders, and an end for the rows they leave behind on other dates."""
+    moved = F.col("old.date") != F.col("new.date")
+    ended = F.when(moved, F.struct(F.col("old").alias("row"), F.lit(False).alias("live")))
+    both = F.array(F.struct(F.col("new").alias("row"), F.lit(True).alias("live")), ended)
+    return (
+        changes.select("order_id", F.explode(both).alias("one"))
+        .where(F.col("one").isNotNull())
+        .select("order_id", "one.row.*", "one.live", F.lit(batch_id).cast("long").alias("version"))
+    )
+
+
+class Aggregate(NamedTuple):
+    """An aggregate of the orders: its parts, the sum of parts, and the column no row lacks."""
+
+    parts: Callable[[DataFrame], DataFrame]
+    added: Callable[[DataFrame], DataFrame]
+    key: str
+
+
+AGGREGATES = {
+    "trader_daily_activity": Aggregate(
+        lake_gold.activity_parts, lake_gold.activity_of_parts, "trader_id"
+    ),
+    "asset_hourly_summary": Aggregate(lake_gold.hourly_parts, lake_gold.hourly_of_parts, "symbol"),
+}
+
+
+def _write_parts(changes: DataFrame, lake: Lake, batch_id: int) -> list[str]:
+    """Write the signed parts of the changed orders under date and version; return the dates."""
+    taken = F.when(F.col("old").isNotNull(), F.struct(F.col("old").alias("row"), F.lit(-1).alias("sign")))
+    both = F.array(F.struct(F.col("new").alias("row"), F.lit(1).alias("sign")), taken)
+    signed = (
+        changes.select(F.explode(both).alias("one"))
+        .where(F.col("one").isNotNull())
+        .select("one.row.*", "one.sign")
+    )
+    for name, aggregate in AGGREGATES.items():
+        parts = aggregate.parts(signed).withColumn("version", F.lit(batch_id))
+        # A repeated cycle replaces its own parts.
+        (
+            parts.hint("rebalance", "date")
+            .write.partitionBy("date", "version")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(lake.parts(name))
+        )
+    # A few calendar days, however many rows.
+    return sorted(row["date"] for row in signed.select("date").distinct().collect())
+
+
 def trade_cycle_writer(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> DataStreamWriter:
@@ -188,29 +238,23 @@ def quarantine_writer(
     )
 
 
-GOLD_KEYS = {"trader_daily_activity": "trader_id", "asset_hourly_summary": "symbol"}
-
-
 def read_gold(spark: SparkSession, lake: Lake, table: str, schema: T.StructType) -> DataFrame:
     """An aggregate table of the orders, without the marks of dates that lost all rows."""
-    rows = source.read_dated(spark, lake.gold(table), schema)
-    return rows.where(F.col(GOLD_KEYS[table]).isNotNull())
+    rows = source.read_dated(spark, lake.gold(lake.of_orders(table)), schema)
+    return rows.where(F.col(AGGREGATES[table].key).isNotNull())
 
 
 def refresh_order_gold(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
-    """Recompute the order aggregates of some dates from the settled orders of those dates."""
+    """Renew the order aggregates of some dates from the parts of those dates."""
     if not dates:
         return
-    orders = current_orders(spark, lake, dates).cache()
     days = spark.createDataFrame([(date,) for date in dates], "date string")
-    # Only dates present are replaced, so every date gets a row; the keyless ones are marks.
-    for name, build in (
-        ("trader_daily_activity", lake_gold.trader_daily_activity),
-        ("asset_hourly_summary", lake_gold.asset_hourly_summary),
-    ):
-        rows = build(orders).unionByName(days, allowMissingColumns=True)
-        overwrite_dates(rows, lake.gold(name))
-    orders.unpersist()
+    for name, aggregate in AGGREGATES.items():
+        parts = source.read_parts(spark, lake.parts(name), dates)
+        # Only dates present are replaced, so every date gets a row; the keyless ones are marks.
+        rows = days if parts is None else aggregate.added(parts).unionByName(days, allowMissingColumns=True)
+        if parts is not None:
+            overwrite_dates(rows, lake.gold(lake.of_orders(name)))
 
 
 def refresh_alert_gold(spark: SparkSession, lake: Lake, date: str) -> None:
@@ -220,19 +264,13 @@ def refresh_alert_gold(spark: SparkSession, lake: Lake, date: str) -> None:
     overwrite_dates(summary, lake.gold("alert_summary"))
 
 
-def rebuild_orders(spark: SparkSession, lake: Lake) -> None:
-    """Settled orders and their aggregates from all raw lines, each order from its whole history.
+def rebuild_orders(spark: SparkSession, lake: Lake, max_files: int | None = None) -> Lake:
+    """Settle all raw lines anew, as the next generation of the order tables, and return that lake.
 
-    For a changed cleaning rule, or a lost checkpoint. It replaces whole tables and can be repeated
-    from the raw lines if it is interrupted.
+    For a changed cleaning rule, or a lost checkpoint. The tables of the present generation stay as they
+    are; readers and the cycle go on with the returned lake once it is complete. An interrupted rebuild
+    goes on where it stopped when it is run again.
     """
-    lines = source.read_bronze(spark, lake.bronze, "orders")
-    orders = lake_silver.silver_orders(
-        parse_messages(lines, schemas.RAW_ORDER), keep_lifecycle=True
-    )
-    marked = orders.withColumn("version", F.lit(REBUILT).cast("long")).withColumn("live", F.lit(True))
-    replace_dated(marked, lake.silver("orders"))
-    settled = current_orders(spark, lake).cache()
-    replace_dated(lake_gold.trader_daily_activity(settled), lake.gold("trader_daily_activity"))
-    replace_dated(lake_gold.asset_hourly_summary(settled), lake.gold("asset_hourly_summary"))
-    settled.unpersist()
+    anew = replace(lake, generation=lake.generation + 1)
+    run_available(order_cycle_writer(spark, anew, max_files))
+    return anew
