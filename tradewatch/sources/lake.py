@@ -72,15 +72,22 @@ def read_dated(
 
 def read_parts(spark: SparkSession, root: str, dates: list[str]) -> DataFrame | None:
     """Parts of an aggregate of some dates; only the folders of those dates are listed."""
-    found = []
-    for date in dates:
+
+    def read(some: list[str]) -> DataFrame | None:
+        paths = [f"{root}/date={date}" for date in some]
         try:
-            rows = spark.read.option("basePath", root).parquet(f"{root}/date={date}")
+            rows = spark.read.option("basePath", root).parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            continue
-        found.append(rows.withColumn("date", F.col("date").cast("string")))
+            return None
+        return rows.withColumn("date", F.col("date").cast("string"))
+
+    whole = read(dates)
+    if whole is not None or len(dates) == 1:
+        return whole
+    # A date all of whose rows lack a key has no folder.
+    found = [rows for date in dates if (rows := read([date])) is not None]
     return reduce(DataFrame.unionByName, found) if found else None
 
 
