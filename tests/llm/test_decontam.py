@@ -94,6 +94,38 @@ def test_copies_are_found_without_an_exact_one_elsewhere(spark, make_docs):
     assert found == {(k, k) for k, _ in items} | {(100 + k, k) for k, _ in items}
 
 
+def seeded_pairs(docs, bench):
+    """Pairs of passages and items that seeds make, and the words of all passages."""
+    items = decontam.items_of(bench)
+    seeds = decontam.seeds_of(docs, items)
+    found = decontam.passages(docs, seeds)
+    pairs = found.selectExpr("passage", "class", "explode(grams) as gram").join(seeds, ["gram", "class"])
+    return pairs.select("passage", "item").distinct().count(), found.selectExpr("sum(size(words))").first()[0] or 0
+
+
+def test_a_common_phrase_pairs_no_documents_with_items(spark, make_docs):
+    docs = make_docs(*[(i, f"doc{i} starts here one of the places{i} ends") for i in range(3000)])
+    items = [(k, " ".join(f"q{k}w{i}" for i in range(10)) + f" one of the last{k} " + " ".join(f"r{k}w{i}" for i in range(10))) for k in range(200)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    copies = make_docs(*[(10_000 + k, f"intro {every(item, 5, 4)} outro") for k, item in items])
+    assert seeded_pairs(docs, bench)[0] == 0
+    pairs, _ = seeded_pairs(docs.unionByName(copies), bench)
+    assert pairs <= 3 * len(items)
+    found = {(r.doc_id, r.item_id) for r in decontam.matches(docs.unionByName(copies), bench).collect()}
+    assert found == {(10_000 + k, k) for k, _ in items}
+
+
+def test_a_long_item_does_not_widen_other_passages(spark, make_docs):
+    filler = " ".join(f"filler{i}" for i in range(15_000))
+    docs = make_docs(*[(i, f"{filler} {ITEM} {filler}") for i in range(5)])
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    long = " ".join(f"long{i}" for i in range(10_000))
+    both = bench.union(spark.createDataFrame([(2, long)], "item_id long, text string"))
+    assert seeded_pairs(docs, both) == seeded_pairs(docs, bench)
+    assert seeded_pairs(docs, bench)[1] <= 5 * 3 * 32
+    assert {(r.doc_id, r.item_id) for r in decontam.matches(docs, both).collect()} == {(i, 1) for i in range(5)}
+
+
 def test_words_in_common_bound_the_score():
     rng = random.Random(4)
     for _ in range(300):

@@ -1,13 +1,16 @@
-"""Passages of benchmark items in training texts: n-gram seeds, then Smith-Waterman alignment.
-
-Every run of GRAM words of an item is a seed, so what is found in a document does not depend on what
-others hold. Seeds and documents meet in an equality join; a filter of fixed size drops most other
-n-grams inside the scan first, and what it lets through by chance fails the join. Around the seeds
-of a document lies a passage, long enough for the longest item, and the words of passage and item
-are aligned: a match counts 1, a mismatch or a gap -1. The score is the best local alignment over
-the length of the item, so edited and paraphrased copies count by what is left. A passage that holds
-too few of an item's words for the score is not aligned. A copy without any run of GRAM words of its
-item, such as one with a word put in after every second word, meets no seed.
+"""Passages of benchmark items in training texts: rare n-gram seeds, then Smith-Waterman alignment.
+
+The seeds of an item are its rarest runs of GRAM words. A copy that keeps the score by replacing words
+shares at least a known number t of the item's n-grams (`must_share`); of the n-grams that any document
+holds, all but the t - 1 commonest are seeds, so such a copy always meets one, whatever the corpus
+holds besides, and common turns of phrase pair no documents with items. Seeds and documents meet in an
+equality join; filters of fixed size drop most other n-grams inside the scan first, and what they let
+through by chance fails the join. Around the seeds of a document lies a passage, long enough for the
+items of the seed's length class, and the words of passage and item are aligned: a match counts 1, a
+mismatch or a gap -1. The score is the best local alignment over the length of the item, so edited and
+paraphrased copies count by what is left. A passage that holds too few of an item's words for the
+score is not aligned. A copy with so many words put in that it keeps fewer than t n-grams is found if
+one of those it keeps is a seed.
 
 A word is a run of ASCII letters, digits and non-ASCII characters, without case for A-Z.
 
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.llm import words as W
@@ -32,7 +35,7 @@ from tradewatch.llm.scratch import settle
 GRAM = 3
 MIN_SCORE = 0.5  # of an item's words, net of edits
 MIN_WORDS = 6  # that an alignment must be worth, or the whole item if it is shorter
-FILTER_BITS = 1 << 24  # 2 MB, whatever the number of items
+FILTER_BITS = 1 << 24  # 2 MB a length class, whatever the number of items
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -70,45 +73,106 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def seeds_of(items: DataFrame) -> DataFrame:
-    """(item, gram): every n-gram of every item, so any run of GRAM words that a copy kept is met."""
-    return settle(items.select("item", F.explode(F.array_distinct("grams")).alias("gram")))
+def must_share(size: Column) -> Column:
+    """N-grams that a copy with replaced words has in common with an item of so many words, at least.
+
+    e replaced words leave size - e in at most e + 1 runs, hence size - 3e - 2 n-grams, and a score of
+    half the words allows a quarter of them to be replaced.
+    """
+    allowed = F.floor(size * (1 - MIN_SCORE) / 2)
+    return F.greatest(size - GRAM * allowed - (GRAM - 1), F.lit(1)).cast("int")
 
 
-def passages(docs: DataFrame, seeds: DataFrame, longest: int) -> DataFrame:
-    """Stretches of documents around seeds: passage (a row id), row, doc_id, text_key, start, words, grams."""
-    sent = docs.sparkSession.sparkContext.broadcast(bit_set(seeds, F.col("gram"), FILTER_BITS))
-    reach = longest  # words; a copy of any item fits on either side of each of its seeds
+def grams_held(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """gram and df: how many documents hold each of the n-grams that any of them holds.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Tasks count what passes a filter of fixed size; an exact join removes its errors.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(bit_set(grams, F.col("gram"), FILTER_BITS))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch.column("text")):
                 found = W.hash_words(chunk, W.PLAIN)
                 first, gram = W.grams(found, GRAM)
                 hit = np.flatnonzero(may_hold(sent.value, gram))
-                if not len(hit):
-                    continue
-                at, row = first[hit], found.row[first[hit]]
-                new = np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] - at[:-1] > 2 * reach)])
-                begin = np.flatnonzero(new)
-                last = np.append(begin[1:], len(at)) - 1
-                bounds = np.searchsorted(found.row, [row[begin], row[begin] + 1])
-                low = np.maximum(at[begin] - reach, bounds[0])
-                high = np.minimum(at[last] + GRAM + reach, bounds[1])
-                size = high - low
-                inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                place = pa.array(chunk.first + row[begin])
-                yield pa.record_batch(
-                    [
-                        batch.column("row").take(place),
-                        batch.column("doc_id").take(place),
-                        batch.column("text_key").take(place),
-                        pa.array(low - bounds[0]),
-                        _lists(found.hash[np.repeat(low, size) + inner].view(np.int64), size, pa.int64()),
-                        _lists(gram[hit].view(np.int64), last - begin + 1, pa.int64()),
-                    ],
-                    names=["row", "doc_id", "text_key", "start", "words", "grams"],
-                )
+                pair = np.unique(np.rec.fromarrays([gram[hit], found.row[first[hit]]]))
+                value, n = np.unique(pair["f0"], return_counts=True)
+                yield pa.record_batch([pa.array(value.view(np.int64)), pa.array(n)], names=["gram", "df"])
+
+    counts = docs.select("text").mapInArrow(count, "gram long, df long")
+    return counts.groupBy("gram").agg(F.sum("df").alias("df")).join(grams, "gram", "left_semi")
+
+
+def seeds_of(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item, class, gram): the rarest n-grams of every item, of those that some document holds.
+
+    class: the power of two of words that holds the item.
+    """
+    size, distinct = F.size("words"), F.size(F.array_distinct("grams"))
+    # A repeated n-gram counts once, so what is needed falls by the repeats.
+    need = F.greatest(must_share(size) - (F.size("grams") - distinct), F.lit(1)).alias("need")
+    length_class = F.ceil(F.log2(size)).cast("int").alias("class")
+    each = settle(
+        items.select("item", length_class, need, F.explode(F.array_distinct("grams")).alias("gram"))
+    )
+    held = grams_held(docs, each.select("gram").distinct())
+    by_use = Window.partitionBy("item").orderBy(F.desc("df"), "gram")
+    return settle(
+        each.join(held, "gram")
+        .withColumn("rank", F.row_number().over(by_use))
+        .where(F.col("rank") >= F.col("need"))
+        .select("item", "class", "gram")
+    )
+
+
+def passages(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Stretches of documents around seeds, by class of item length.
+
+    Columns: passage (a row id), row, doc_id, text_key, class, start, words, grams.
+    """
+    # Classes are powers of two, so there are a few dozen at most.
+    classes = sorted(r["class"] for r in seeds.select("class").distinct().collect())
+    filters = [
+        (c, bit_set(seeds.where(F.col("class") == c), F.col("gram"), FILTER_BITS)) for c in classes
+    ]
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in W.chunks(batch.column("text")):
+                found = W.hash_words(chunk, W.PLAIN)
+                first, gram = W.grams(found, GRAM)
+                for length_class, bits in sent.value:
+                    hit = np.flatnonzero(may_hold(bits, gram))
+                    if len(hit):
+                        yield around(batch, chunk, found, first, gram, hit, length_class)
+
+    def around(batch, chunk, found, first, gram, hit, length_class) -> pa.RecordBatch:
+        """The stretches around the n-grams numbered `hit`, where a copy of the class fits on either side."""
+        reach = 1 << length_class
+        at, row = first[hit], found.row[first[hit]]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] - at[:-1] > 2 * reach)])
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(at)) - 1
+        bounds = np.searchsorted(found.row, [row[begin], row[begin] + 1])
+        low = np.maximum(at[begin] - reach, bounds[0])
+        high = np.minimum(at[last] + GRAM + reach, bounds[1])
+        size = high - low
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        place = pa.array(chunk.first + row[begin])
+        return pa.record_batch(
+            [
+                batch.column("row").take(place),
+                batch.column("doc_id").take(place),
+                batch.column("text_key").take(place),
+                pa.array(np.full(len(begin), length_class, np.int32)),
+                pa.array(low - bounds[0]),
+                _lists(found.hash[np.repeat(low, size) + inner].view(np.int64), size, pa.int64()),
+                _lists(gram[hit].view(np.int64), last - begin + 1, pa.int64()),
+            ],
+            names=["row", "doc_id", "text_key", "class", "start", "words", "grams"],
+        )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(
@@ -119,8 +183,8 @@ def passages(docs: DataFrame, seeds: DataFrame, longest: int) -> DataFrame:
     )
     found = rows.mapInArrow(
         cut,
-        f"row long, doc_id {kind}, text_key struct<a:long,b:long>, start long, words array<long>, "
-        "grams array<long>",
+        f"row long, doc_id {kind}, text_key struct<a:long,b:long>, class int, start long, "
+        "words array<long>, grams array<long>",
     )
     return settle(found.withColumn("passage", F.monotonically_increasing_id()))
 
@@ -182,12 +246,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE)
     One row per document row and item, at its best passage (the first of equals).
     """
     items = items_of(benchmark)
-    longest = items.agg(F.max(F.size("words"))).first()[0] or 0
-    seeds = seeds_of(items)
-    found = passages(docs, seeds, longest)
+    seeds = seeds_of(docs, items)
+    found = passages(docs, seeds)
     pairs = (
-        found.select("passage", F.explode(F.array_distinct("grams")).alias("gram"))
-        .join(seeds, "gram")
+        found.select("passage", "class", F.explode(F.array_distinct("grams")).alias("gram"))
+        .join(seeds, ["gram", "class"])
         .select("passage", "item")
         .distinct()
     )
@@ -196,7 +259,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE)
     floor = F.greatest(min_score * size, F.least(size, F.lit(MIN_WORDS))).cast("double")
     best = F.max_by(F.struct("score", "start", "end"), F.struct("score", -F.col("start")))
     return (
-        pairs.join(found.drop("grams"), "passage")
+        pairs.join(found.drop("grams", "class"), "passage")
         .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
         .withColumn("at", aligned("item_words", "words", floor))
         .filter(F.col("at.score") >= floor)
