@@ -1,6 +1,6 @@
 import corpus_pipeline
 
-from tradewatch.llm import decontam, pii, quality, simhash
+from tradewatch.llm import decontam, near, pii, quality
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -42,4 +42,4 @@ def test_stages_on_awkward_and_empty_rows(spark, awkward, empty):
 def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     good = quality.keep_good(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
-    assert simhash.keep_one(good).count() >= 0.9 * good.select("text").distinct().count()
+    assert near.keep_one(good).count() >= 0.9 * good.select("text").distinct().count()
