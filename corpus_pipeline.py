@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.llm import bpe, decontam, pii, quality, simhash
+from tradewatch.llm import bpe, decontam, near, pii, quality
 from tradewatch.llm.scratch import checkpoint_dir, ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,9 +29,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near copies the document of smallest id stays."""
+    """Of every component of near copies, five-word similarity 0.8, the document of smallest id stays."""
     ship_package(spark)
-    return simhash.keep_one(docs)
+    return near.keep_one(docs)
 
 
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
