@@ -1,9 +1,13 @@
+import random
 from datetime import timedelta
 
+import pytest
 from conftest import START
 from pyspark.sql import functions as F
 
+from tradewatch.operators import spoofing
 from tradewatch.operators.spoofing import cancel_windows, spoofing_alerts
+from tradewatch.params import SpoofingParams
 
 
 def alerts(orders):
@@ -57,3 +61,43 @@ def test_overlapping_windows_alert_separately(make_orders):
 def test_every_event_falls_in_exactly_four_windows(make_orders):
     orders = make_orders(*[("t", "FILLED", 7 * i) for i in range(200)])
     assert cancel_windows(orders).agg(F.sum("total_orders")).first()[0] == 4 * 200
+
+
+def random_orders(make_orders, seed, count):
+    rng = random.Random(seed)
+    return make_orders(
+        *[
+            (rng.choice(["a", "b", None]), rng.choice(["CANCELLED", "FILLED", "NEW", None]), rng.randrange(-9000, 9000),
+             {"symbol": rng.choice(["S", "T", None])})
+            for _ in range(count)
+        ]
+    )
+
+
+@pytest.mark.parametrize("window, slide, panes", [(120, 30, 64), (120, 30, 2), (60, 60, 3), (300, 20, 4)])
+def test_panes_give_the_windows_of_copied_orders(make_orders, monkeypatch, window, slide, panes):
+    monkeypatch.setattr(spoofing, "BLOCK_PANES", panes)
+    params = SpoofingParams(window_sec=window, slide_sec=slide)
+    orders = random_orders(make_orders, window + panes, 500)
+    closed = orders.where(F.col("status").isin("CANCELLED", "FILLED"))
+    plain = sorted(map(str, spoofing._windows_of_orders(closed, params).collect()))
+    assert sorted(map(str, spoofing._windows_of_panes(closed, params).collect())) == plain
+    assert cancel_windows(orders, params).count() == len(plain)
+
+
+def test_windows_that_are_no_whole_number_of_slides(make_orders):
+    orders = random_orders(make_orders, 1, 100)
+    params = SpoofingParams(window_sec=100, slide_sec=30)
+    closed = orders.where(F.col("status").isin("CANCELLED", "FILLED"))
+    assert cancel_windows(orders, params).count() == spoofing._windows_of_orders(closed, params).count()
+
+
+def test_one_row_per_pane_is_shuffled(make_orders):
+    """Many orders of one pane: both shuffles carry a row per pane, none a row per window."""
+    orders = make_orders(*burst("t", "CANCELLED", 500))
+    windows = cancel_windows(orders)
+    assert windows.count() == 4
+    plan = windows._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 2
+    assert "hashpartitioning(trader_id" in final and "begin" not in final.split("Exchange hashpartitioning", 1)[1].split(")")[0]
