@@ -96,3 +96,43 @@ def test_no_unit_is_passed_over_that_reaches_the_cosine(monkeypatch):
     all_best, all_cosine = licences.best_match(weights, unit, hashes, 3000)
     high = all_cosine >= licences.MIN_COSINE
     assert high.sum() > 20 and (cosine[high] == all_cosine[high]).all() and (best[high] == all_best[high]).all()
+
+
+def test_slices_of_runs_give_what_one_comparison_gives(monkeypatch):
+    short = licences.terms_of(licences.TEMPLATES)
+    weights = licences.weigh(short, 50, np.ones(len(short.words)))
+    rng = np.random.default_rng(3)
+    hashes = np.where(rng.random(4000) < 0.7, rng.choice(short.words, 4000), rng.integers(1, 99, 4000).astype(np.uint64))
+    begin = np.sort(rng.integers(0, 3900, 600))
+    end = begin + rng.integers(1, 40, 600)
+    unit = np.repeat(np.arange(600), end - begin)
+    inner = np.concatenate([np.arange(a, b) for a, b in zip(begin, end)])
+    best, cosine = licences.best_match(weights, unit, hashes[inner], 600)
+    for size in (1, 50, 10**6):
+        monkeypatch.setattr(licences, "SLICE_WORDS", size)
+        parts = list(licences._matched(weights, hashes, begin, end))
+        hit = np.concatenate([p[0] for p in parts])
+        assert hit.tolist() == np.flatnonzero(cosine >= licences.MIN_COSINE).tolist() and len(hit)
+        assert np.concatenate([p[1] for p in parts]).tolist() == best[hit].tolist()
+        assert np.allclose(np.concatenate([p[2] for p in parts]), cosine[hit])
+
+
+def test_long_texts_of_notices(spark):
+    """Half a million words, each line a notice; the runs of lines must not be held at once."""
+    mit = licences.TEMPLATES["MIT"]
+    rows = [(1, "a/x", f"{mit}\n" * 100_000), (2, "b/y", "plain\n" * 50_000 + mit), (3, "c/z", "plain")]
+    got = {r.doc_id: (r.licence, r.line) for r in licences.scan(files(spark, *rows)).collect()}
+    assert got == {1: ("MIT", 1), 2: ("MIT", 50_001), 3: (None, None)}
+
+
+def test_words_of_a_long_text_hash_as_those_of_a_short_one():
+    from tradewatch.llm import words as W
+
+    rng = np.random.default_rng(5)
+    text = b" ".join(b"w%d" % i for i in rng.integers(0, 500, 600_000)) + b" " + b"q" * 3_000_000
+    whole = W.Chunk(0, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    found = W.hash_words(whole, W.SPACED)
+    short = W.hash_words(licences._chunk([" ".join(f"w{i}" for i in range(500))]), W.SPACED)
+    long = W.hash_words(licences._chunk(["q" * 3_000_000]), W.SPACED)
+    known = {f"w{i}": h for i, h in enumerate(short.hash.tolist())} | {"q" * 3_000_000: long.hash[0]}
+    assert [known[w] for w in text.decode().split(" ")] == found.hash.tolist()

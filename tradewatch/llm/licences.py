@@ -31,6 +31,7 @@ from tradewatch.llm import words as W
 from tradewatch.llm.scratch import settle
 
 MIN_COSINE = 0.6
+SLICE_WORDS = 1 << 17  # of lines or runs of lines compared at once
 FULL_TEXTS = Path(__file__).parent / "licence_texts"
 
 # Short notices of common licences.
@@ -174,29 +175,62 @@ def best_match(weights: Weights, unit: np.ndarray, hashes: np.ndarray, units: in
     return best, score
 
 
-def _runs(weights: Weights, line: np.ndarray, hashes: np.ndarray, row_of: np.ndarray):
-    """First and last line, and first and last word + 1, of runs of lines that may hold a notice.
+def _runs(weights: Weights, words: Units, row: np.ndarray, more: int):
+    """First lines of the runs of `more` further lines that may hold a notice, among lines with words.
 
-    line: that of each word; row_of: the text of each line. Lines without words do not count. A run
-    begins and ends with a template word's line, as its cosine is lower otherwise, and has as many
-    lines as the longest template words at most.
+    words: first word and last word + 1 of each line; row: the text of each. A run begins and ends with
+    a template word's line, as its cosine is lower otherwise.
     """
+    low = np.flatnonzero((row[more:] == row[:-more]) & words.notes[more:] & words.notes[:-more])
+    a, b = words.begin[low], words.end[low + more]
+    known, others = words.known[b] - words.known[a] + 1e-9, words.others[b] - words.others[a]
+    return low[may_match(weights, known, others)]
+
+
+class Units(NamedTuple):
+    """Word ranges of lines; running sums over words of idf**2 of template words, and of other words."""
+
+    begin: np.ndarray
+    end: np.ndarray
+    notes: np.ndarray
+    known: np.ndarray
+    others: np.ndarray
+
+
+def _units(weights: Weights, line: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, Units]:
+    """The lines that have words, and their word ranges. line: that of each word."""
     begin = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else line
-    own, end = line[begin], np.append(begin[1:], len(line))
-    row = row_of[own]
+    end = np.append(begin[1:], len(line))
     at = _place(weights.terms, hashes)
     known = np.append(0, np.cumsum(np.where(at >= 0, weights.idf[at] ** 2, 0)))
     others = np.append(0, np.cumsum(at < 0))
     notes = end - begin - (others[end] - others[begin]) > 0
-    found = []
-    for more in range(1, int(weights.terms.counts.sum(axis=0).max())):
-        if more >= len(begin):
-            break
-        low = np.flatnonzero((row[more:] == row[:-more]) & notes[more:] & notes[:-more])
-        a, b = begin[low], end[low + more]
-        low = low[may_match(weights, known[b] - known[a] + 1e-9, others[b] - others[a])]
-        found.append(np.stack([own[low], own[low + more], begin[low], end[low + more]]))
-    return np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
+    return line[begin], Units(begin, end, notes, known, others)
+
+
+def _matched(weights: Weights, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Number, template and cosine of the word ranges that reach MIN_COSINE, in order.
+
+    Ranges are compared in slices of SLICE_WORDS words, so memory does not follow the text's length.
+    """
+    size = end - begin
+    total = np.append(0, np.cumsum(size))
+    low = 0
+    while low < len(begin):
+        high = max(low + 1, int(np.searchsorted(total, total[low] + SLICE_WORDS, side="right")) - 1)
+        some = size[low:high]
+        inner = np.arange(some.sum()) + np.repeat(begin[low:high] - np.cumsum(some) + some, some)
+        unit = np.repeat(np.arange(len(some)), some)
+        best, cosine = best_match(weights, unit, hashes[inner], len(some))
+        hit = np.flatnonzero(cosine >= MIN_COSINE)
+        yield low + hit, best[hit], cosine[hit]
+        low = high
+
+
+def _firsts(row: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """The first of the best of each row."""
+    order = np.lexsort((np.arange(len(row)), -cosine, row))
+    return order[np.flatnonzero(np.append(True, row[order][1:] != row[order][:-1]))] if len(row) else order
 
 
 def _notice(licence: str, cosine: float, line: int, edge: bool) -> dict:
@@ -228,20 +262,18 @@ def with_notice(files: DataFrame, templates: dict[str, str] | None = None) -> Da
                 if found[row] is None or cosine > found[row]["cosine"]:
                     found[row] = _notice(names[name], cosine, line, edge)
 
-            best, cosine = best_match(weights, line, words.hash, len(lines.start))
-            for i in np.flatnonzero(cosine >= MIN_COSINE):
-                row = lines.row[i]
-                edge = bool(i == first[row] or i == last[row])
-                offer(row, short.names, best[i], cosine[i], int(i - first[row]) + 1, edge)
-            low, high, begin, end = _runs(weights, line, words.hash, lines.row)
-            size = end - begin
-            inner = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
-            unit = np.repeat(np.arange(len(size)), size)
-            best, cosine = best_match(weights, unit, words.hash[inner], len(size))
-            for i in np.flatnonzero(cosine >= MIN_COSINE):
-                row = lines.row[low[i]]
-                edge = bool(low[i] == first[row] or high[i] == last[row])
-                offer(row, short.names, best[i], cosine[i], int(low[i] - first[row]) + 1, edge)
+            own, units = _units(weights, line, words.hash)
+            row_of = lines.row[own]
+            for more in range(int(weights.terms.counts.sum(axis=0).max())):
+                if more >= len(own):
+                    break
+                low = _runs(weights, units, row_of, more) if more else np.flatnonzero(units.notes)
+                for hit, best, cosine in _matched(weights, words.hash, units.begin[low], units.end[low + more]):
+                    begin, end = own[low[hit]], own[low[hit] + more]
+                    for k in _firsts(row_of[low[hit]], cosine):
+                        row = row_of[low[hit[k]]]
+                        edge = bool(begin[k] == first[row] or end[k] == last[row])
+                        offer(row, short.names, best[k], cosine[k], int(begin[k] - first[row]) + 1, edge)
             for kind in (weights, whole):
                 best, cosine = best_match(kind, words.row, words.hash, chunk.rows)
                 for row in np.flatnonzero(cosine >= MIN_COSINE):

@@ -108,9 +108,17 @@ def hash_words(chunk: Chunk, fold: np.ndarray) -> Words:
     edge[chunk.offset] = True
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:n]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(data * powers(n), dtype=np.uint64, out=total[1:])
-    hashed = mix((total[end] - total[start]) * powers(n, _UNBASE)[start])
+    hashed = np.empty(len(start), np.uint64)
+    low = 0
+    while low < len(start):
+        # Words of about a chunk at once, so that a very long text takes no more memory.
+        high = max(low + 1, int(np.searchsorted(end, start[low] + 2 * CHUNK_BYTES, side="right")))
+        first, last = int(start[low]), int(end[high - 1])
+        total = np.zeros(last - first + 1, np.uint64)
+        np.cumsum(data[first:last] * powers(last - first), dtype=np.uint64, out=total[1:])
+        a, b = start[low:high] - first, end[low:high] - first
+        hashed[low:high] = mix((total[b] - total[a]) * powers(last - first, _UNBASE)[a])
+        low = high
     row = np.searchsorted(chunk.offset, start, side="right") - 1
     return Words(start, end, row, hashed)
 
