@@ -78,3 +78,26 @@ def test_empty_table_and_short_texts(make_docs, empty):
     assert repeats.digests(empty).count() == 0
     rows = repeats.digests(make_docs((1, "short"), (2, "short"))).collect()
     assert [r.n_removed for r in rows] == [0, 0]
+
+
+def test_a_line_in_every_text_fills_no_part(spark, monkeypatch):
+    """One line of over 100 bytes between different neighbours, in every document."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    line = word(120)
+    docs = [(i, word(rng.randint(60, 90)) + line + word(rng.randint(60, 90))) for i in range(1500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sizes = []
+    settle = repeats.settle
+
+    def watch(df):
+        out = settle(df)
+        if "bytes" in out.columns:
+            parts = out.filter("not repeat").groupBy("name", "part").count()
+            sizes.append(parts.agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(repeats, "settle", watch)
+    found = dict(result(repeats.digests(frame, 64).collect()))
+    assert found == {i: v for (i, _), v in brute(docs).items()}
+    assert sizes and max(sizes) <= 2 * 64

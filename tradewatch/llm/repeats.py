@@ -12,8 +12,10 @@ the others are induced from them by a scan over the buckets of first bytes. Neig
 common prefix of LENGTH bytes are equal windows, and all but the earliest are repeats. The order is
 only needed up to LENGTH bytes, so sorting stops there.
 
-A name with very many segments is split by the content of its windows, so that no task holds more
-than a bounded part of it. Texts are shuffled only for documents with segments to compare or bytes
+A name with very many segments is cut into its windows, which are dealt to parts by content; each task
+first folds the equal ones it has, so neither a name nor a window that many texts share fills a part.
+Segments count as equal if a 64-bit hash of their bytes and their length agree and they have the same
+name, a 64-bit hash of a string in them; the bytes of those are not compared again. Texts are shuffled only for documents with segments to compare or bytes
 to remove; a bit set of bounded size drops the others in the scan.
 
 Defined results: a null text is an empty text; documents are ordered by doc_id, null last, then by
@@ -39,7 +41,8 @@ GRAM = 48
 SPAN = LENGTH - GRAM + 1  # strings of GRAM bytes in a window
 HELD_ROWS = 1 << 20  # segments that a task compares before it sends them on
 ARRAY_BYTES = 1 << 22  # of text in one suffix array
-SPLIT_ROWS = 1 << 14  # segments of one name that one task takes
+SPLIT_ROWS = 1 << 12  # segments, or windows, of one name that one task takes
+HELD_WINDOWS = 1 << 16  # windows of names in parts that a task folds at once
 
 
 # Windows and segments ---------------------------------------------------------------------------
@@ -367,40 +370,56 @@ def _touched(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return hashed.mapInArrow(kept, "doc long, text string")
 
 
-def _window_parts(data: bytes, parts: int) -> list[int]:
-    """The parts, by content, of the windows in a segment's bytes."""
-    if parts <= 1:
-        return [0]
+def _part_of(data: bytes, parts: int) -> np.ndarray:
+    """The part, by content, of each window in a segment's bytes."""
     size = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
     total = np.zeros(len(size) + 1, np.uint64)
     np.cumsum(size * W.powers(len(size)), out=total[1:])
     hashed = W.mix((total[LENGTH:] - total[:-LENGTH]) * W.powers(len(size), W._UNBASE)[: len(size) - LENGTH + 1])
-    return np.unique(hashed % np.uint64(parts)).astype(int).tolist()
+    return (hashed % np.uint64(parts)).astype(np.int64)
+
+
+_CUT = "name long, part long, doc long, start long, bytes binary, repeat boolean"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of segments listed with each text, once for each part."""
+    """The bytes of segments listed with each text; of names in parts, the single windows.
+
+    Of equal windows of such a name a task sends the earliest on and marks the others as repeats, so a
+    window that many segments share is one row per task and HELD_WINDOWS windows.
+    """
+    rows: list[tuple] = []
+    earliest: dict[tuple[int, int, bytes], tuple[int, int]] = {}
+
+    def flush(windows: bool) -> pa.RecordBatch:
+        if windows:
+            rows.extend((*key[:2], *place, key[2], False) for key, place in earliest.items())
+            earliest.clear()
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+        names = ["name", "part", "doc", "start", "bytes", "repeat"]
+        columns = zip(*rows) if rows else ([] for _ in names)
+        out = pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+        rows.clear()
+        return out
+
     for batch in batches:
         for low in range(0, batch.num_rows, 512):
-            rows = batch.slice(low, 512).to_pylist()
-            name, part, doc, start, data = [], [], [], [], []
-            for row in rows:
-                text = row["text"].encode()
+            for row in batch.slice(low, 512).to_pylist():
+                text, doc = row["text"].encode(), row["doc"]
                 for s in row["segments"]:
-                    piece = text[s["start"] : s["start"] + s["count"] + LENGTH - 1]
-                    for p in _window_parts(piece, s["parts"]):
-                        name.append(s["name"])
-                        part.append(p)
-                        doc.append(row["doc"])
-                        start.append(s["start"])
-                        data.append(piece)
-            yield pa.record_batch(
-                [
-                    pa.array(name, pa.int64()), pa.array(part, pa.int64()), pa.array(doc, pa.int64()),
-                    pa.array(start, pa.int64()), pa.array(data, pa.binary()),
-                ],
-                names=["name", "part", "doc", "start", "bytes"],
-            )
+                    begin = s["start"]
+                    piece = text[begin : begin + s["count"] + LENGTH - 1]
+                    if s["parts"] <= 1:
+                        rows.append((s["name"], 0, doc, begin, piece, False))
+                        continue
+                    for at, part in enumerate(_part_of(piece, s["parts"]).tolist()):
+                        key, here = (s["name"], part, piece[at : at + LENGTH]), (doc, begin + at)
+                        known = earliest.setdefault(key, here)
+                        if known != here:
+                            earliest[key], later = min(known, here), max(known, here)
+                            rows.append((s["name"], part, *later, None, True))
+            yield flush(len(earliest) >= HELD_WINDOWS)
+    yield flush(True)
 
 
 def _repeats(rows: DataFrame, split_rows: int) -> DataFrame:
@@ -418,8 +437,10 @@ def _repeats(rows: DataFrame, split_rows: int) -> DataFrame:
     open_ = found.filter("not repeat")
     large = settle(
         open_.groupBy("name")
-        .agg(F.ceil(F.count("*") / split_rows).cast("int").alias("parts"))
-        .filter("parts > 1")
+        # A segment of one name has at most SPAN windows.
+        .agg(F.count("*").alias("count"))
+        .filter(F.col("count") > split_rows)
+        .select("name", F.ceil(F.col("count") * SPAN / split_rows).cast("int").alias("parts"))
     )
     listed = (
         open_.join(large, "name", "left")
@@ -428,13 +449,14 @@ def _repeats(rows: DataFrame, split_rows: int) -> DataFrame:
         .agg(F.collect_list("s").alias("segments"))
     )
     # One document's segments: bounded by its length.
+    cut = settle(_touched(rows, open_).join(listed, "doc").mapInArrow(_cut, _CUT))
     windows = (
-        _touched(rows, open_)
-        .join(listed, "doc")
-        .mapInArrow(_cut, "name long, part long, doc long, start long, bytes binary")
+        cut.filter("not repeat")
+        .drop("repeat")
         .repartition("name", "part")
         .sortWithinPartitions("name", "part")
         .mapInArrow(_compare, "doc long, start long")
+        .unionByName(cut.filter("repeat").select("doc", "start"))
         .distinct()
     )
     whole = found.filter("repeat").select("doc", "start", "count")
