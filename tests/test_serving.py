@@ -134,3 +134,26 @@ def test_display_orders(spark):
     assert [r.symbol for r in serving.ranked_assets(assets).collect()] == ["B", "A"]
     days = spark.createDataFrame([("2024-01-01", "x"), ("2024-01-02", "y"), ("2024-01-02", "x")], "alert_date string, alert_type string")
     assert [tuple(r) for r in serving.newest_days(days).collect()] == [("2024-01-02", "x"), ("2024-01-02", "y"), ("2024-01-01", "x")]
+
+
+def test_case_states(spark, alerts):
+    """Replays change nothing, a review survives them, and a detection after its end reopens a case."""
+    first = cases.alert_case_rows(alerts(spoof("a"), spoof("b"), spoof("c"), spoof("d")))
+    ids = {r.trader_id: r.alert_id for r in first.collect()}
+    later = first.where("trader_id in ('b', 'c')").selectExpr(
+        *[c if c != "detected_at" else "detected_at + interval 3 hours as detected_at" for c in first.columns]
+    )
+    at = AT + timedelta(hours=1)
+    reviews = spark.createDataFrame(
+        [
+            (ids["a"], "resolved", "x", at, "n"), (ids["b"], "dismissed", "x", at, None), (ids["c"], "reviewing", "y", at, None),
+            (ids["a"], "reviewing", "y", AT, "old"), ("unknown", "resolved", "x", at, None), (None, "resolved", "x", at, None),
+        ],
+        schemas.CASE_REVIEW,
+    )
+    once = cases.current_cases(first.unionByName(later), reviews)
+    state = {r.trader_id: (r.status, r.reviewed_by, r.notes) for r in once.collect()}
+    assert state == {"a": ("resolved", "x", "n"), "b": ("reopened", "x", None), "c": ("reviewing", "y", None), "d": ("open", None, None)}
+    again = cases.current_cases(first.unionByName(later).unionByName(first), reviews.unionByName(reviews))
+    assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+    assert cases.current_cases(first, reviews.limit(0)).where("status = 'open'").count() == 4

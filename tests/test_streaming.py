@@ -16,6 +16,9 @@ from tradewatch.streaming import detectors
 from tradewatch.streaming.lake import (
     Lake,
     landing_writer,
+    alert_key_figures,
+    alert_sets_writer,
+    late_orders_writer,
     order_cycle_writer,
     current_orders,
     quarantine_writer,
@@ -361,3 +364,59 @@ def test_conformed_stream_schema_is_the_alert_schema(feed):
     for rows in (detectors.spoofing_stream(feed.stream()), detectors.wash_stream(feed.stream())):
         assert rows.schema.fieldNames() == schemas.ALERT.fieldNames()
         assert conform(rows).isStreaming
+
+
+def test_late_rows_and_those_on_time_are_all_rows(spark, feed, lake):
+    feed.add(*spoof_burst(count=3))
+    feed.add(order("z", "NEW", 7200))
+    feed.add(*spoof_burst(count=4), order("y", "FILLED", 7198), order("x", "FILLED", 0, timestamp="garbage"))
+    orders = feed.stream()
+    for _ in range(2):
+        detectors.run_available(late_orders_writer(spark, orders, lake, 5))
+    late = spark.read.parquet(lake.folder("late", "rows"))
+    marks = spark.read.parquet(lake.folder("late", "marks")).agg(F.sum("late"), F.sum("on_time")).first()
+    assert late.count() == 4 and tuple(marks) == (4, spark.read.schema(orders.schema).json(str(feed.folder)).count() - 4)
+
+
+def test_dropped_rows_are_counted(spark, feed, tmp_path):
+    feed.add(*spoof_burst(count=1))
+    feed.add(order("z", "NEW", 7200))
+    feed.add(order("z", "NEW", 7201))
+    feed.add(*spoof_burst(count=12))
+    found = detectors.spoofing_stream(feed.stream())
+    writer = detectors.parquet_writer(found, str(tmp_path / "out"), str(tmp_path / "check"))
+    assert detectors.dropped_rows(detectors.run_available(writer)) > 0
+
+
+def test_sets_of_traders_equal_distinct_counts(spark, lake):
+    rng = random.Random(1)
+
+    def alert(day):
+        kind = rng.choice(["SPOOFING", "WASH_TRADING"])
+        who = [f"t{rng.randrange(400)}" for _ in range(3)]
+        named = {"trader_id": who[0]} if kind == "SPOOFING" else {"trader_id_1": who[1], "trader_id_2": rng.choice([who[2], None])}
+        return {"alert_type": kind, "symbol": "S", "detected_at": f"2024-01-{day:02d}T10:00:00", **named}
+
+    alerts = [alert(rng.randint(1, 4)) for _ in range(600)]
+    for part in (alerts[:200], alerts[200:210], alerts[210:]):
+        land(spark, lake, "alerts", *part)
+        detectors.run_available(alert_sets_writer(spark, lake))
+    numbers = spark.read.parquet(lake.folder("sets", "numbers"))
+    assert numbers.select("number").distinct().count() == numbers.count()
+    for first, last in ((None, None), ("2024-01-02", "2024-01-03"), ("2025-01-01", None)):
+        chosen = [a for a in alerts if (first or "") <= a["detected_at"][:10] <= (last or "9")]
+        wanted = {}
+        for kind in {a["alert_type"] for a in chosen} | ({"ALL"} if chosen else set()):
+            some = [a for a in chosen if kind in ("ALL", a["alert_type"])]
+            who = {a.get(k) for a in some for k in ("trader_id", "trader_id_1", "trader_id_2")} - {None}
+            wanted[kind] = (len(some), len(who))
+        found = alert_key_figures(spark, lake, first, last).collect()
+        assert {r.alert_type: (r.total_alerts, r.unique_traders) for r in found} == wanted
+    # A repeated cycle replaces what it wrote.
+    before = sorted(map(str, alert_key_figures(spark, lake).collect()))
+    for folder in (f"{lake.checkpoint('alert_sets')}/commits",):
+        last = max((n for n in os.listdir(folder) if n.isdigit()), key=int)
+        os.rename(f"{folder}/{last}", f"{lake.root}/set-commit-{last}")
+        os.rename(f"{folder}/.{last}.crc", f"{lake.root}/set-commit-{last}.crc")
+    detectors.run_available(alert_sets_writer(spark, lake))
+    assert sorted(map(str, alert_key_figures(spark, lake).collect())) == before

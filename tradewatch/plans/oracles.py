@@ -852,3 +852,40 @@ ORACLES["catalog_trades_table"] = (
 ORACLES["trader_risk_ranking"] = ORACLES["trader_risk_summary"]
 ORACLES["asset_activity_ranking"] = ORACLES["asset_alert_activity"]
 ORACLES["newest_alert_days"] = ORACLES["daily_alert_metrics"]
+ORACLES["alert_kpis_by_sets"] = _with(
+    ALERTS,
+    """
+    , since AS (SELECT * FROM all_alerts WHERE detected_at >= TIMESTAMP '2024-01-20'),
+    who AS (
+      SELECT alert_type, unnest([trader_id, trader_id_1, trader_id_2]) AS trader FROM since
+    ),
+    kinds AS (SELECT DISTINCT alert_type AS kind FROM since UNION ALL SELECT 'ALL')
+    SELECT kind AS alert_type,
+           (SELECT count(*) FROM since WHERE kind IN ('ALL', alert_type)) AS total_alerts,
+           (SELECT count(DISTINCT trader) FROM who WHERE kind IN ('ALL', alert_type)) AS unique_traders
+    FROM kinds
+    """,
+)
+ORACLES["case_lifecycle"] = f"""
+WITH opened AS ({ORACLES["alert_case_rows"]}),
+seen AS (
+  SELECT *, detected_at + INTERVAL 1 HOUR AS closed_at,
+         CASE WHEN asset = 'AAPL' THEN detected_at + INTERVAL 2 HOUR ELSE detected_at END AS last_at
+  FROM opened
+)
+SELECT alert_id, alert_type, severity, asset, last_at AS detected_at,
+       CASE WHEN severity <> 'high' THEN 'open' WHEN last_at > closed_at THEN 'reopened'
+            ELSE 'resolved' END AS status,
+       CASE WHEN severity = 'high' THEN 'analyst' END AS reviewed_by,
+       CASE WHEN severity = 'high' THEN closed_at END AS reviewed_at,
+       CASE WHEN severity = 'high' THEN 'seen' END AS notes
+FROM seen
+"""
+ORACLES["late_orders"] = _with(
+    ORDERS,
+    """
+    SELECT order_id, status, event_time FROM order_feed
+    WHERE status <> 'NEW'
+      AND event_time < (SELECT max(event_time) - INTERVAL 5 SECOND FROM order_feed WHERE status = 'NEW')
+    """,
+)

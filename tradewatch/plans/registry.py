@@ -650,6 +650,66 @@ def alert_summary_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_source.read_dated(spark, lake.gold("alert_summary"), schema)
 
 
+@query
+def alert_kpis_by_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key figures since a day from stored sets of traders, built in two cycles."""
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    found = _alerts(spark, sf_dir)
+    early = F.col("symbol").isin("AAPL", "TSLA", "JPM")
+    for part in (early, ~early):
+        lines = alerts.alert_messages(found.where(part)).select(F.lit("alerts").alias("topic"), "value")
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines), lake.bronze)
+        detectors.run_available(lake_job.alert_sets_writer(spark, lake))
+    return lake_job.alert_key_figures(spark, lake, first=SINCE_DAY)
+
+
+@query
+def case_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases after repeated detections, reviews, and detections after a review.
+
+    Cases of high severity are resolved an hour after their detection; those of one symbol are detected
+    again an hour later. All lines are landed twice.
+    """
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    found = _alerts(spark, sf_dir)
+    later = found.where(F.col("symbol") == "AAPL").withColumn(
+        "detected_at", F.col("detected_at") + F.expr("INTERVAL 2 HOURS")
+    )
+    for rows in (found, later, found):
+        lines = alerts.alert_messages(rows).select(F.lit("alerts").alias("topic"), "value")
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines), lake.bronze)
+        stream = messages.parse_alerts(lake_source.bronze_stream(spark, lake.bronze, "alerts"))
+        detectors.run_available(lake_job.case_table_writer(stream, lake))
+    reviews = cases.alert_case_rows(found).where(F.col("severity") == "high").select(
+        "alert_id",
+        F.lit("resolved").alias("status"),
+        F.lit("analyst").alias("reviewed_by"),
+        (F.col("detected_at") + F.expr("INTERVAL 1 HOUR")).alias("reviewed_at"),
+        F.lit("seen").alias("notes"),
+    )
+    for _ in range(2):
+        lake_job.write_reviews(reviews, lake, 0)
+    return lake_job.read_cases(spark, lake).select(
+        "alert_id", "alert_type", "severity", "asset", "detected_at", "status", "reviewed_by", "reviewed_at",
+        "notes",
+    )
+
+
+@query
+def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of life that land after all placements, where they come behind the watermark."""
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    feed = _stamped_orders(spark, sf_dir)
+    value = F.to_json(F.struct(*feed.columns)).alias("value")
+    for part in (F.col("status") == "NEW", F.col("status") != "NEW"):
+        lines = feed.where(part).select(F.lit("orders").alias("topic"), value)
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines), lake.bronze)
+        stream = messages.parse_orders(lake_source.bronze_stream(spark, lake.bronze, "orders"))
+        writer = lake_job.late_orders_writer(spark, stream, lake, SPOOFING.watermark_sec)
+        detectors.run_available(writer)
+    return lake_job.late_orders(spark, lake, stream.schema).select("order_id", "status", "event_time")
+
+
 def _from_catalog(spark: SparkSession, sf_dir: str, pick) -> DataFrame:
     """What `pick` takes from the three table layers, rebuilt from snapshots of all rows."""
     folder = working_folder(spark, "catalog")

@@ -73,3 +73,7 @@ ALERT_CASE = _struct(
     description=STRING, details=STRING, market_context=STRING, detected_at=TIMESTAMP,
     status=STRING, reviewed_by=STRING, reviewed_at=TIMESTAMP, notes=STRING,
 )
+
+CASE_REVIEW = _struct(
+    alert_id=STRING, status=STRING, reviewed_by=STRING, reviewed_at=TIMESTAMP, notes=STRING,
+)

@@ -38,6 +38,17 @@ def overwrite_dates(rows: DataFrame, root: str) -> None:
     _by_date(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
+def write_version(rows: DataFrame, root: str, version: int, *by: str) -> None:
+    """Write the rows of a batch under its number; a repeated batch replaces its own rows."""
+    (
+        rows.withColumn("version", F.lit(version).cast("long"))
+        .write.partitionBy("version", *by)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(root)
+    )
+
+
 def replace_dated(rows: DataFrame, root: str) -> None:
     """Replace the whole table, dates that no longer occur included."""
     _by_date(rows).mode("overwrite").option("partitionOverwriteMode", "static").parquet(root)

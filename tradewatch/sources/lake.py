@@ -91,6 +91,20 @@ def read_parts(spark: SparkSession, root: str, dates: list[str]) -> DataFrame |
     return reduce(DataFrame.unionByName, found) if found else None
 
 
+def read_versions(
+    spark: SparkSession, root: str, schema: T.StructType, before: int | None = None
+) -> DataFrame:
+    """Rows of a table written by versions, with their version; before: only of earlier ones."""
+    full = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+    try:
+        rows = spark.read.schema(full).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
+    return rows if before is None else rows.where(F.col("version") < before)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A snapshot with a header; an empty field is NULL."""
     return spark.read.schema(schema).csv(path, header=True, timestampFormat=CSV_TIMESTAMP)

@@ -7,7 +7,7 @@ final and appended once. Alerts may leave as rows or as messages.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tradewatch.functions.times import seconds
 from tradewatch.operators.alerts import conform
@@ -49,7 +49,20 @@ def parquet_writer(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWri
     )
 
 
-def run_available(writer: DataStreamWriter) -> None:
+def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there and stop."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's state operators dropped behind the watermark, over its recent batches.
+
+    An aggregation counts a row once for each window that it is late for.
+    """
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

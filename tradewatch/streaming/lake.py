@@ -13,9 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tradewatch import schemas
 from tradewatch.functions.dedup import keep_latest
-from tradewatch.operators import lake_gold, lake_silver
+from tradewatch.operators import cases, distinct_sets, lake_gold, lake_silver
 from tradewatch.session import use_rocksdb_state
-from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates
+from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates, write_version
 from tradewatch.sources import lake as source
 from tradewatch.sources.messages import malformed_orders, parse_alerts, parse_messages
 from tradewatch.streaming.detectors import run_available
@@ -224,6 +224,128 @@ def alert_cycle_writer(
     )
 
 
+TRADER_NUMBER = T.StructType(
+    [
+        T.StructField("trader", T.StringType()),
+        T.StructField("lane", T.IntegerType()),
+        T.StructField("number", T.LongType()),
+    ]
+)
+ALERT_COUNT = T.StructType(
+    [
+        T.StructField("date", T.StringType()),
+        T.StructField("alert_type", T.StringType()),
+        T.StructField("alerts", T.LongType()),
+    ]
+)
+TRADER_SET = T.StructType(
+    [*ALERT_COUNT.fields[:2], T.StructField("bucket", T.LongType()), T.StructField("bits", T.BinaryType())]
+)
+
+
+def alert_sets_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
+    """Add the alerts of newly landed lines to the counts and trader sets per date and type.
+
+    Sets of a cycle are merged with those of others when they are read, so a cycle touches no earlier
+    one; it reads the table of trader numbers only. A repeated cycle replaces what it wrote.
+    """
+
+    def cycle(lines: DataFrame, batch_id: int) -> None:
+        alerts = parse_alerts(lines).persist()
+        known = source.read_versions(spark, lake.folder("sets", "numbers"), TRADER_NUMBER, batch_id)
+        fresh = distinct_sets.new_numbers(distinct_sets.involved_traders(alerts), known)
+        write_version(fresh, lake.folder("sets", "numbers"), batch_id)
+        numbers = source.read_versions(spark, lake.folder("sets", "numbers"), TRADER_NUMBER, batch_id + 1)
+        write_version(distinct_sets.trader_sets(alerts, numbers), lake.folder("sets", "traders"), batch_id)
+        write_version(distinct_sets.alert_counts(alerts), lake.folder("sets", "counts"), batch_id)
+        alerts.unpersist()
+
+    return (
+        source.bronze_stream(spark, lake.bronze, "alerts", max_files)
+        .writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint("alert_sets"))
+        .outputMode("update")
+    )
+
+
+def alert_key_figures(
+    spark: SparkSession, lake: Lake, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Alerts and distinct traders per type, and of all types, of a range of dates."""
+    counts = source.read_versions(spark, lake.folder("sets", "counts"), ALERT_COUNT)
+    sets = source.read_versions(spark, lake.folder("sets", "traders"), TRADER_SET)
+    return distinct_sets.key_figures(counts, sets, first, last)
+
+
+def case_table_writer(alerts: DataFrame, lake: Lake) -> DataStreamWriter:
+    """A case for every alert of a stream, in the case table; a repeated batch replaces its own rows."""
+
+    def cycle(batch: DataFrame, batch_id: int) -> None:
+        write_version(cases.alert_case_rows(batch), lake.folder("cases", "detections"), batch_id)
+
+    return (
+        alerts.writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint("cases"))
+        .outputMode("append")
+    )
+
+
+def write_reviews(reviews: DataFrame, lake: Lake, version: int) -> None:
+    """Record reviews of cases; version: a number of their own for each batch of them."""
+    rows = reviews.select(*schemas.CASE_REVIEW.fieldNames())
+    write_version(rows, lake.folder("cases", "reviews"), version)
+
+
+def read_cases(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The state of every case."""
+    detections = source.read_versions(spark, lake.folder("cases", "detections"), schemas.ALERT_CASE)
+    reviews = source.read_versions(spark, lake.folder("cases", "reviews"), schemas.CASE_REVIEW)
+    return cases.current_cases(detections, reviews)
+
+
+def late_orders_writer(
+    spark: SparkSession, orders: DataFrame, lake: Lake, delay_sec: int
+) -> DataStreamWriter:
+    """Keep the orders that come behind the watermark, which the detectors drop without a word.
+
+    As in a query with that delay, the watermark of a batch is the latest time of all earlier batches
+    less the delay. The latest time of each batch is kept with its number, so a repeated batch finds
+    the same orders late. Orders in time are counted beside them.
+    """
+    marks = T.StructType(
+        [
+            T.StructField("latest", T.TimestampType()),
+            T.StructField("on_time", T.LongType()),
+            T.StructField("late", T.LongType()),
+        ]
+    )
+
+    def cycle(batch: DataFrame, batch_id: int) -> None:
+        known = source.read_versions(spark, lake.folder("late", "marks"), marks, batch_id)
+        latest = known.agg(F.max("latest")).first()[0]
+        bound = F.lit(latest).cast("timestamp") - F.make_interval(secs=F.lit(delay_sec))
+        behind = F.coalesce(F.col("event_time") < bound, F.lit(False))
+        write_version(batch.where(behind), lake.folder("late", "rows"), batch_id)
+        mark = batch.agg(
+            F.max("event_time").alias("latest"),
+            F.count_if(~behind).alias("on_time"),
+            F.count_if(behind).alias("late"),
+        )
+        write_version(mark, lake.folder("late", "marks"), batch_id)
+
+    return (
+        orders.writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint("late"))
+        .outputMode("append")
+    )
+
+
+def late_orders(spark: SparkSession, lake: Lake, schema: T.StructType) -> DataFrame:
+    return source.read_versions(spark, lake.folder("late", "rows"), schema).drop("version")
+
+
 def quarantine_writer(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> DataStreamWriter:
