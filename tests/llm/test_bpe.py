@@ -58,3 +58,13 @@ def test_columns_of_awkward_rows(spark, awkward, empty):
     assert codec.encode(empty).count() == 0
     odd = spark.createDataFrame([([0, None, 999_999],), (None,)], "ids array<int>")
     assert [r.decoded for r in codec.decode(odd).collect()] == ["!", None]
+
+
+def test_long_words_are_not_remembered(automaton, library):
+    rng = random.Random(9)
+    for _ in range(5):
+        word = "".join(rng.choice("abcdef") for _ in range(50_000))
+        held = len(automaton.words), len(automaton.pieces)
+        text = f"{word} {word[:300]}"
+        assert automaton.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert (len(automaton.words), len(automaton.pieces)) == held

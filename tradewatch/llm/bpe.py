@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 # Fixed value: the pre-split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 KEPT = 150_000  # words, pieces and transitions that a task remembers, each twice over at most
+LONG_WORD = 200  # characters; longer words and pieces are encoded anew each time
 SLICE_ROWS = 256  # rows whose ids a task holds at once
 NEVER = 1 << 30
 
@@ -95,6 +96,8 @@ class _Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+            if isinstance(key, str) and len(key) > LONG_WORD:
+                return value
         if len(self) >= self.kept:
             self.old = dict(self)
             self.clear()
