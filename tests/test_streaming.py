@@ -20,6 +20,7 @@ from tradewatch.streaming.lake import (
     alert_sets_writer,
     late_orders_writer,
     order_cycle_writer,
+    schema_guard_writer,
     current_orders,
     quarantine_writer,
     read_gold,
@@ -420,3 +421,17 @@ def test_sets_of_traders_equal_distinct_counts(spark, lake):
         os.rename(f"{folder}/.{last}.crc", f"{lake.root}/set-commit-{last}.crc")
     detectors.run_available(alert_sets_writer(spark, lake))
     assert sorted(map(str, alert_key_figures(spark, lake).collect())) == before
+
+
+def test_guarded_cycle_skips_a_batch_without_a_required_field(spark, lake):
+    good, late = order("t", "NEW", 0, order_id="1"), order("t", "CANCELLED", 4, order_id="1", extra="x")
+    without = {k: v for k, v in order("t", "NEW", 9, order_id="2").items() if k != "price"}
+    for part in ([good, "{bad"], [without], [late]):
+        land(spark, lake, "orders", *part)
+        detectors.run_available(schema_guard_writer(spark, lake))
+        detectors.run_available(order_cycle_writer(spark, lake, guarded=True))
+    (row,) = current_orders(spark, lake).collect()
+    assert (row.order_id, row.status, row.price) == ("1", "cancelled", 100.0)
+    report = spark.read.parquet(lake.folder("guard", "report")).collect()
+    assert sorted((r.version, r.field, r.problem, r.lines) for r in report) == [(1, "price", "missing", 0), (2, "extra", "new", 1)]
+    assert spark.read.parquet(lake.folder("quarantine", "skipped")).count() == 1

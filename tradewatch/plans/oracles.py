@@ -889,3 +889,17 @@ ORACLES["late_orders"] = _with(
       AND event_time < (SELECT max(event_time) - INTERVAL 5 SECOND FROM order_feed WHERE status = 'NEW')
     """,
 )
+ORACLES["schema_guard"] = _with(
+    ORDERS,
+    """
+    , counts AS (
+      SELECT count(*) FILTER (status = 'NEW') AS placed, count(*) FILTER (status <> 'NEW') AS ended
+      FROM order_feed
+    )
+    SELECT CAST(1 AS BIGINT) AS version, 'order_id' AS field, 'missing' AS problem, CAST(0 AS BIGINT) AS lines
+    UNION ALL SELECT 1, 'oid', 'new', placed FROM counts
+    UNION ALL SELECT 0, NULL, 'passed', placed FROM counts
+    UNION ALL SELECT 1, NULL, 'skipped', placed FROM counts
+    UNION ALL SELECT 2, NULL, 'passed', ended FROM counts
+    """,
+)

@@ -710,6 +710,26 @@ def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_job.late_orders(spark, lake, stream.schema).select("order_id", "status", "event_time")
 
 
+@query
+def schema_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guard reports of three batches, of which the second lacks the order id."""
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    feed = _stamped_orders(spark, sf_dir)
+    placed, ended = feed.where(F.col("status") == "NEW"), feed.where(F.col("status") != "NEW")
+    for part in (placed, placed.withColumnRenamed("order_id", "oid"), ended):
+        lines = part.select(F.lit("orders").alias("topic"), F.to_json(F.struct("*")).alias("value"))
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines), lake.bronze)
+        detectors.run_available(lake_job.schema_guard_writer(spark, lake))
+    report = lake_source.read_versions(spark, lake.folder("guard", "report"), lake_job.SCHEMA_PROBLEM)
+    skipped = lake_source.read_versions(spark, lake.folder("quarantine", "skipped"), lake_source.BRONZE)
+    passed = lake_source.read_versions(spark, lake.checked, lake_source.BRONZE)
+    lines = [
+        rows.groupBy("version").agg(F.lit(None).cast("string").alias("field"), F.lit(name).alias("problem"), F.count("*").alias("lines"))
+        for rows, name in ((skipped, "skipped"), (passed, "passed"))
+    ]
+    return reduce(DataFrame.unionByName, [report, *lines])
+
+
 def _from_catalog(spark: SparkSession, sf_dir: str, pick) -> DataFrame:
     """What `pick` takes from the three table layers, rebuilt from snapshots of all rows."""
     folder = working_folder(spark, "catalog")

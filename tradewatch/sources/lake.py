@@ -44,6 +44,15 @@ def bronze_stream(
     return _lines(reader.format("text").load(root), topic, None)
 
 
+def checked_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+    """Lines that the schema guard let through, as they come."""
+    schema = T.StructType([*BRONZE.fields, T.StructField("version", T.LongType())])
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.parquet(root).select(*BRONZE.fieldNames())
+
+
 def _lines(lines: DataFrame, topic: str | None, date: str | None) -> DataFrame:
     if topic is not None:
         lines = lines.where(F.col("topic") == topic)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -72,3 +73,35 @@ def malformed_orders(raw: DataFrame) -> DataFrame:
         .where(F.col("reason").isNotNull())
         .select(*raw.columns, "reason")
     )
+
+
+def discovered_fields(raw: DataFrame) -> DataFrame:
+    """field and lines: the names that the messages carry, and in how many lines each has a value.
+
+    Names are folded in each task before they are shuffled; lines that are no JSON object have none.
+    """
+    pairs = F.explode(F.from_json("value", "map<string,string>")).alias("field", "text")
+    return (
+        raw.select(pairs)
+        .where(F.col("text").isNotNull())
+        .groupBy("field")
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+
+
+def schema_report(raw: DataFrame, schema: T.StructType, required: Iterable[str]) -> DataFrame:
+    """field, problem (missing or new) and lines of a batch whose fields differ from the declared ones.
+
+    A required field is missing if no line has a value for it; a batch without any readable line lacks
+    them all.
+    """
+    spark = raw.sparkSession
+    declared = [(f.name, f.name in set(required)) for f in schema]
+    known = spark.createDataFrame(declared, "field string, required boolean")
+    joined = known.join(discovered_fields(raw), "field", "full")
+    problem = F.when(F.col("required").isNull(), "new").when(
+        F.col("required") & F.col("lines").isNull(), "missing"
+    )
+    return joined.select(
+        "field", problem.alias("problem"), F.coalesce("lines", F.lit(0)).alias("lines")
+    ).where(F.col("problem").isNotNull())

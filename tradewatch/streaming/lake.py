@@ -17,7 +17,7 @@ from tradewatch.operators import cases, distinct_sets, lake_gold, lake_silver
 from tradewatch.session import use_rocksdb_state
 from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates, write_version
 from tradewatch.sources import lake as source
-from tradewatch.sources.messages import malformed_orders, parse_alerts, parse_messages
+from tradewatch.sources.messages import malformed_orders, parse_alerts, parse_messages, schema_report
 from tradewatch.streaming.detectors import run_available
 from tradewatch.streaming.order_state import order_changes
 
@@ -60,6 +60,11 @@ class Lake:
     def bronze(self) -> str:
         return self.folder("bronze")
 
+    @property
+    def checked(self) -> str:
+        """Order lines behind the schema guard."""
+        return self.folder("checked", "orders")
+
     def of_orders(self, name: str) -> str:
         """The name of an order table or job in this generation."""
         return f"{name}_g{self.generation}" if self.generation else name
@@ -107,8 +112,46 @@ def current_trades(spark: SparkSession, lake: Lake) -> DataFrame:
     return lake_silver.merge_silver_trades(rows)
 
 
-def order_cycle_writer(
+SCHEMA_PROBLEM = T.StructType(
+    [
+        T.StructField("field", T.StringType()),
+        T.StructField("problem", T.StringType()),
+        T.StructField("lines", T.LongType()),
+    ]
+)
+
+
+def schema_guard_writer(
     spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> DataStreamWriter:
+    """Compare the fields of each batch of order lines with the declared ones.
+
+    A batch in which a required field has no value at all is skipped: its lines go to a quarantine
+    table. Lines of other batches go on to the guarded order cycle. Missing and new fields are reported
+    by batch. A batch without lines is let through.
+    """
+
+    def cycle(lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
+        report = schema_report(lines, schemas.RAW_ORDER, lake_silver.ORDER_COLUMNS)
+        write_version(report, lake.folder("guard", "report"), batch_id)
+        found = source.read_versions(spark, lake.folder("guard", "report"), SCHEMA_PROBLEM)
+        missing = found.where((F.col("version") == batch_id) & (F.col("problem") == "missing"))
+        kept = missing.isEmpty() or lines.isEmpty()
+        folder = lake.checked if kept else lake.folder("quarantine", "skipped")
+        write_version(lines, folder, batch_id)
+        lines.unpersist()
+
+    return (
+        source.bronze_stream(spark, lake.bronze, "orders", max_files)
+        .writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", lake.checkpoint("guard"))
+        .outputMode("append")
+    )
+
+
+def order_cycle_writer(
+    spark: SparkSession, lake: Lake, max_files: int | None = None, guarded: bool = False
 ) -> DataStreamWriter:
     """Settle the orders of newly landed lines and renew the aggregates of the dates they touch.
 
@@ -116,10 +159,14 @@ def order_cycle_writer(
     of the dates they touch, never the settled table. The aggregates change by the difference between
     an order's new and old row. Neither depends on how lines fall into cycles, and a repeated cycle
     writes the same rows of the same version again. max_files splits a large backlog into several
-    cycles. The state needs the RocksDB provider, which this switches on for the session.
+    cycles. The state needs the RocksDB provider, which this switches on for the session. guarded: read
+    only lines that the schema guard has let through.
     """
     use_rocksdb_state(spark)
-    new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
+    if guarded:
+        new_lines = source.checked_stream(spark, lake.checked, max_files)
+    else:
+        new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
 
     def cycle(changes: DataFrame, batch_id: int) -> None:
         changes = changes.persist()
