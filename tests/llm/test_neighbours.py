@@ -74,5 +74,24 @@ def test_unusable_vectors_and_empty_table(spark):
     ]
     df = spark.createDataFrame(rows, KIND)
     found = neighbours.search(df).collect()
-    assert {(r.query_id, r.vec_id, r.score) for r in found} == {(0, 20, 0.5), (20, 0, 0.5)}
+    # Two rows have id 0: each is a query, and a candidate of the other.
+    of_zero = [(0, 1, 0, 1.0), (0, 2, 20, 0.5)]
+    of_twenty = [(20, 1, 0, 0.5), (20, 2, 0, 0.5)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted([*of_zero, *of_zero, *of_twenty])
     assert neighbours.search(df.filter("false")).count() == 0
+
+
+def test_parts_at_every_size():
+    assert [neighbours.parts_for(n, min(n, 8192)) for n in (0, 1, 300, 500, 2000, 50_000)] == [1, 1, 1, 2, 10, 12]
+    assert neighbours.parts_for(10**7, 65_536) == 1024
+
+
+def test_recall_of_production_parameters(spark):
+    """The whole given table, 10 parts, against brute force."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.collect()
+    x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    assert neighbours.parts_for(len(x), len(x)) == 10
+    found, expected = found_by(neighbours.search(df)), brute(ids, x, 20, 20)
+    hits = sum(len({v for v, _, _ in found[q]} & {v for v, _ in e}) for q, e in expected.items())
+    assert hits / (20 * len(expected)) >= 0.9

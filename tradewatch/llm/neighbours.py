@@ -3,8 +3,8 @@
 A bounded sample is joined to its neighbours in a graph; the graph is cut into parts of equal size
 with few edges between them; a small classifier learns the part of a vector. It assigns every
 vector to a part and routes a query to the parts it finds most probable, where exact scores rank
-the candidates. How many parts are asked is set on the sample, so that its own neighbours are found
-with a wanted recall.
+the candidates. How many parts are asked is set on sampled vectors that the classifier did not learn,
+so that their neighbours are found with a wanted recall.
 
 Every row is indexed. A part is dealt to blocks of bounded size, as are the queries routed to it, so
 that no task holds a whole part, however many equal vectors it has, and only the k best of a query
@@ -12,7 +12,8 @@ leave a block.
 
 Defined results: vectors that are null, empty, zero, or have null or non-finite components, take no
 part, nor do vectors of another length than the most frequent one (the smaller of equals); a null
-vec_id takes no part; rows of a query's own id are no candidates; equal scores go to the smaller id.
+vec_id takes no part; each row of a repeated query id is a query with its own list, and all rows but
+that one are its candidates; equal scores go to the smaller id.
 """
 
 from __future__ import annotations
@@ -29,9 +30,13 @@ from tradewatch.llm.scratch import settle
 
 K = 20
 QUERY_EVERY = 20
-SAMPLE_ROWS = 8192
-ROWS_PER_PART = 4096
-MAX_PARTS = 256
+SAMPLE_ROWS = 8192  # of vectors for the partition and the router, at least
+MOST_SAMPLE_ROWS = 65536  # and at most; in between with the square root of the rows
+ROWS_PER_PART = 4096  # of a large table
+MAX_PARTS = 1024
+FEW_PARTS = 12  # of a small table, of at least FEW_ROWS rows each
+FEW_ROWS = 200
+HELD_OUT = 8  # one sampled vector in so many is kept from the router, to set how many parts are asked
 GRAPH_DEGREE = 10
 WANTED_RECALL = 0.94
 BLOCK_ROWS = 8192
@@ -148,26 +153,40 @@ def learn_router(x: np.ndarray, label: np.ndarray, parts: int, seed: int, epochs
     return Router(scale, *weights, probes=parts)
 
 
+def parts_for(rows: int, sampled: int) -> int:
+    """Parts of a table: FEW_PARTS or by ROWS_PER_PART, none so small that the sample cannot tell it."""
+    wanted = max(rows // ROWS_PER_PART, min(FEW_PARTS, rows // FEW_ROWS))
+    return int(max(1, min(MAX_PARTS, wanted, sampled // 64)))
+
+
 def learn(x: np.ndarray, rows: int, wanted: float = WANTED_RECALL, seed: int = 11) -> Router:
     """Partition and router from a sample x of `rows` vectors in all."""
-    parts = int(min(MAX_PARTS, max(1, rows // ROWS_PER_PART), max(1, len(x) // 64)))
+    parts = parts_for(rows, len(x))
     if parts == 1:
         width = x.shape[1] if x.ndim == 2 else 0
         return Router(1.0, np.zeros((width, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
-    near = neighbour_graph(x, min(GRAPH_DEGREE, len(x) - 1))
-    router = learn_router(x, cut_graph(x, near, parts, seed), parts, seed)
-    # Parts are asked in order of probability until the sample's neighbours are found.
-    asked = x[: min(len(x), 1024)]
+    held_out = np.arange(len(x)) % HELD_OUT == 0
+    learned = x[~held_out]
+    near = neighbour_graph(learned, min(GRAPH_DEGREE, len(learned) - 1))
+    router = learn_router(learned, cut_graph(learned, near, parts, seed), parts, seed)
+    # Parts are asked in order of probability until the neighbours of vectors not learned are found.
+    asked = np.flatnonzero(held_out)[:1024]
     logits = router.logits(x)
     home = logits.argmax(axis=1)
-    order = np.argsort(-logits[: len(asked)], axis=1)
-    place = np.argsort(order, axis=1)
-    true = neighbour_graph(x, min(K, len(x) - 1))[: len(asked)]
+    place = np.argsort(np.argsort(-logits[asked], axis=1), axis=1)
+    true = nearest_of(x, asked, min(K, len(x) - 1))
     needed = np.take_along_axis(place, home[true], axis=1)
     probes = next(m for m in range(1, parts + 1) if (needed < m).mean() >= wanted)
     return router._replace(probes=probes)
 
 
+def nearest_of(x: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray:
+    """The k nearest rows by inner product of the rows numbered `asked`, their own left out."""
+    scored = x[asked] @ x.T
+    scored[np.arange(len(asked)), asked] = -np.inf
+    return np.argpartition(-scored, k - 1, axis=1)[:, :k]
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding (array<double>) of the rows that take part."""
     wide = F.col("embedding").cast("array<double>")
@@ -195,17 +214,17 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
-def best(queries, query_ids, rows, row_ids, k: int):
-    """(query_id, vec_id, score) of the k best rows of each query."""
+def best(queries, query_rows, rows, row_ids, row_rows, k: int):
+    """(query_row, vec_id, score) of the k best rows of each query but its own."""
     out = []
     for low in range(0, len(queries), 32):
         part = scores(queries[low : low + 32], rows)
         for i, line in enumerate(part):
-            line = np.where(row_ids == query_ids[low + i], -np.inf, line)
+            line = np.where(row_rows == query_rows[low + i], -np.inf, line)
             limit = np.partition(line, -k)[-k] if len(line) > k else -np.inf
             found = np.flatnonzero((line >= limit) & (line > -np.inf))
             found = found[np.lexsort((row_ids[found], -line[found]))][:k]
-            out.append((np.full(len(found), query_ids[low + i]), row_ids[found], line[found]))
+            out.append((np.full(len(found), query_rows[low + i]), row_ids[found], line[found]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -216,7 +235,8 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K, block_rows:
     rows = usable(vectors)
     count = rows.count()
     # A bounded sample, the same whatever the order of rows.
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toArrow()
+    size = int(min(MOST_SAMPLE_ROWS, max(SAMPLE_ROWS, 64 * count**0.5)))
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(size).toArrow()
     x = _matrix(sample.column("embedding").combine_chunks())
     router = learn(x, count)
     sent = rows.sparkSession.sparkContext.broadcast(router)
@@ -233,11 +253,14 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K, block_rows:
             )
             yield pa.record_batch([*batch.columns, parts], names=[*batch.schema.names, "parts"])
 
+    # Ids may repeat, so rows are numbered.
     routed = settle(
-        rows.mapInArrow(route, "vec_id long, embedding array<double>, parts array<int>")
+        rows.mapInArrow(route, "vec_id long, embedding array<double>, parts array<int>").withColumn(
+            "row", F.monotonically_increasing_id()
+        )
     )
     asks = routed.filter(F.col("vec_id") % every == 0).select(
-        "vec_id", "embedding", F.explode("parts").alias("part")
+        "row", "vec_id", "embedding", F.explode("parts").alias("part")
     )
     held = routed.withColumn("part", F.col("parts")[0]).drop("parts")
     # A row for each part: at most MAX_PARTS.
@@ -263,28 +286,31 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K, block_rows:
     keys = ["part", "row_block", "query_block"]
 
     def rank(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
+        names = ["query_row", "vec_id", "score"]
         if not queries.num_rows or not candidates.num_rows:
             kinds = [pa.int64(), pa.int64(), pa.float64()]
             return pa.table([pa.array([], kind) for kind in kinds], names=names)
         found = best(
             _matrix(queries.column("query").combine_chunks()),
-            queries.column("query_id").to_numpy(),
+            queries.column("query_row").to_numpy(),
             _matrix(candidates.column("embedding").combine_chunks()),
             candidates.column("vec_id").to_numpy(),
+            candidates.column("row").to_numpy(),
             k,
         )
         return pa.table([pa.array(f) for f in found], names=names)
 
     found = (
-        left.select(*keys, F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+        left.select(*keys, F.col("row").alias("query_row"), F.col("embedding").alias("query"))
         .groupBy(*keys)
-        .cogroup(right.select(*keys, "vec_id", "embedding").groupBy(*keys))
-        .applyInArrow(rank, "query_id long, vec_id long, score double")
+        .cogroup(right.select(*keys, "row", "vec_id", "embedding").groupBy(*keys))
+        .applyInArrow(rank, "query_row long, vec_id long, score double")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    ids = routed.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
+        .join(ids, "query_row")
         .select("query_id", "rank", "vec_id", "score")
     )
