@@ -1,6 +1,7 @@
 import json
 import os
 import random
+from pathlib import Path
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from tradewatch.sinks.lake import append_dated, bronze_rows, overwrite_dates, wr
 from tradewatch.sources.lake import read_bronze, read_dated
 from tradewatch.sources.messages import parse_messages, parse_orders
 from tradewatch.streaming import detectors
+from tradewatch.streaming import lake as lake_job
 from tradewatch.streaming.lake import (
     Lake,
     landing_writer,
@@ -435,3 +437,24 @@ def test_guarded_cycle_skips_a_batch_without_a_required_field(spark, lake):
     report = spark.read.parquet(lake.folder("guard", "report")).collect()
     assert sorted((r.version, r.field, r.problem, r.lines) for r in report) == [(1, "price", "missing", 0), (2, "extra", "new", 1)]
     assert spark.read.parquet(lake.folder("quarantine", "skipped")).count() == 1
+
+
+def test_folded_parts_are_no_longer_read(spark, lake, monkeypatch):
+    monkeypatch.setattr(lake_job, "FOLD_EVERY", 2)
+    monkeypatch.setattr(lake_job, "FOLD_AFTER", 2)
+    parts = history(8)
+    for part in (parts[0], parts[2]):
+        land(spark, lake, "orders", *part)
+        detectors.run_available(order_cycle_writer(spark, lake))
+    for table in lake_job.AGGREGATES:
+        dates = [d.name for d in Path(lake.folds(table)).iterdir() if d.name.startswith("date=")]
+        assert dates
+        for date in dates:
+            for file in Path(lake.parts(table), date).rglob("part-*"):
+                file.write_bytes(b"no longer Parquet")
+    land(spark, lake, "orders", *parts[4])
+    detectors.run_available(order_cycle_writer(spark, lake))
+    wanted = expected_activity(spark, lake)
+    found = gold(spark, lake, "trader_daily_activity", wanted.schema)
+    plain = lambda rows: sorted(str(sorted(r.asDict().items())) for r in rows)
+    assert plain(found) == plain(wanted.collect())

@@ -79,18 +79,22 @@ def read_dated(
     return rows if dates is None else rows.where(F.col("date").isin(dates))
 
 
-def read_parts(spark: SparkSession, root: str, dates: list[str]) -> DataFrame | None:
-    """Parts of an aggregate of some dates; only the folders of those dates are listed."""
+def read_parts(
+    spark: SparkSession, root: str, schema: T.StructType, dates: list[str]
+) -> DataFrame | None:
+    """Parts of an aggregate of some dates; only the folders of those dates are listed.
+
+    The schema holds the partition columns date and version.
+    """
 
     def read(some: list[str]) -> DataFrame | None:
         paths = [f"{root}/date={date}" for date in some]
         try:
-            rows = spark.read.option("basePath", root).parquet(*paths)
+            return spark.read.schema(schema).option("basePath", root).parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return rows.withColumn("date", F.col("date").cast("string"))
 
     whole = read(dates)
     if whole is not None or len(dates) == 1:

@@ -76,6 +76,10 @@ class Lake:
         """Signed parts of an aggregate by date and cycle."""
         return self.folder("parts", self.of_orders(table))
 
+    def folds(self, table: str) -> str:
+        """Sums of all parts of a date up to a cycle."""
+        return self.folder("folds", self.of_orders(table))
+
     def gold(self, table: str) -> str:
         return self.folder("gold", table)
 
@@ -174,6 +178,8 @@ def order_cycle_writer(
         dates = _write_parts(changes, lake, batch_id)
         changes.unpersist()
         refresh_order_gold(spark, lake, dates)
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_parts(spark, lake, dates, batch_id)
 
     return (
         order_changes(parse_messages(new_lines, schemas.RAW_ORDER))
@@ -201,14 +207,40 @@ class Aggregate(NamedTuple):
     parts: Callable[[DataFrame], DataFrame]
     added: Callable[[DataFrame], DataFrame]
     key: str
+    keys: tuple[str, ...]
+    sums: tuple[str, ...]
 
 
 AGGREGATES = {
     "trader_daily_activity": Aggregate(
-        lake_gold.activity_parts, lake_gold.activity_of_parts, "trader_id"
+        lake_gold.activity_parts,
+        lake_gold.activity_of_parts,
+        "trader_id",
+        ("date", "trader_id", "symbol"),
+        lake_gold.ACTIVITY_PARTS,
+    ),
+    "asset_hourly_summary": Aggregate(
+        lake_gold.hourly_parts,
+        lake_gold.hourly_of_parts,
+        "symbol",
+        ("date", "hour", "symbol"),
+        lake_gold.HOURLY_PARTS,
     ),
-    "asset_hourly_summary": Aggregate(lake_gold.hourly_parts, lake_gold.hourly_of_parts, "symbol"),
 }
+FOLD_EVERY = 16  # cycles after which the dates of a cycle are looked at
+FOLD_AFTER = 32  # parts of a date that are folded into one
+
+
+def _write_by_date(parts: DataFrame, root: str, batch_id: int) -> None:
+    """Write under date and version; a repeated cycle replaces its own."""
+    (
+        parts.withColumn("version", F.lit(batch_id))
+        .hint("rebalance", "date")
+        .write.partitionBy("date", "version")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(root)
+    )
 
 
 def _write_parts(changes: DataFrame, lake: Lake, batch_id: int) -> list[str]:
@@ -221,15 +253,7 @@ def _write_parts(changes: DataFrame, lake: Lake, batch_id: int) -> list[str]:
         .select("one.row.*", "one.sign")
     )
     for name, aggregate in AGGREGATES.items():
-        parts = aggregate.parts(signed).withColumn("version", F.lit(batch_id))
-        # A repeated cycle replaces its own parts.
-        (
-            parts.hint("rebalance", "date")
-            .write.partitionBy("date", "version")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(lake.parts(name))
-        )
+        _write_by_date(aggregate.parts(signed), lake.parts(name), batch_id)
     # A few calendar days, however many rows.
     return sorted(row["date"] for row in signed.select("date").distinct().collect())
 
@@ -413,13 +437,55 @@ def read_gold(spark: SparkSession, lake: Lake, table: str, schema: T.StructType)
     return rows.where(F.col(AGGREGATES[table].key).isNotNull())
 
 
+def _parts_of(spark: SparkSession, lake: Lake, name: str, dates: list[str]) -> DataFrame | None:
+    """The latest fold of each date and the parts of later cycles."""
+    signed = T.StructType([*SILVER_ORDER.fields, T.StructField("date", T.StringType())])
+    none = spark.createDataFrame([], signed.add("sign", T.IntegerType()))
+    schema = AGGREGATES[name].parts(none).schema.add("version", T.LongType())
+    parts = source.read_parts(spark, lake.parts(name), schema, dates)
+    folds = source.read_parts(spark, lake.folds(name), schema, dates)
+    if parts is None or folds is None:
+        return parts
+    # A few calendar days; as plain conditions they keep the files of folded parts from being read.
+    last = folds.groupBy("date").agg(F.max("version").alias("upto")).collect()
+    date, version = F.col("date"), F.col("version")
+    later = ~date.isin([row["date"] for row in last])
+    latest = F.lit(False)
+    for row in last:
+        later |= (date == row["date"]) & (version > row["upto"])
+        latest |= (date == row["date"]) & (version == row["upto"])
+    return folds.where(latest).unionByName(parts.where(later))
+
+
+def fold_parts(spark: SparkSession, lake: Lake, dates: list[str], upto: int) -> None:
+    """Fold the parts of those dates that have gathered FOLD_AFTER of them, up to a cycle, into one.
+
+    A fold is written beside the parts under a number of its own and replaces nothing, so readers see
+    either the parts or their sum; what it covers is no longer read.
+    """
+    for name, aggregate in AGGREGATES.items():
+        parts = _parts_of(spark, lake, name, dates) if dates else None
+        if parts is None:
+            continue
+        many = parts.groupBy("date").agg(F.count_distinct("version").alias("n"))
+        # A few calendar days.
+        full = [row["date"] for row in many.where(F.col("n") >= FOLD_AFTER).collect()]
+        if full:
+            sums = (
+                parts.where(F.col("date").isin(full))
+                .groupBy(*aggregate.keys)
+                .agg(*[F.try_sum(part).cast(parts.schema[part].dataType).alias(part) for part in aggregate.sums])
+            )
+            _write_by_date(sums, lake.folds(name), upto)
+
+
 def refresh_order_gold(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
     """Renew the order aggregates of some dates from the parts of those dates."""
     if not dates:
         return
     days = spark.createDataFrame([(date,) for date in dates], "date string")
     for name, aggregate in AGGREGATES.items():
-        parts = source.read_parts(spark, lake.parts(name), dates)
+        parts = _parts_of(spark, lake, name, dates)
         # Only dates present are replaced, so every date gets a row; the keyless ones are marks.
         rows = days if parts is None else aggregate.added(parts).unionByName(days, allowMissingColumns=True)
         if parts is not None:
