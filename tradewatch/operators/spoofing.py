@@ -11,70 +11,71 @@ from tradewatch.operators.selection import select_rows
 from tradewatch.params import SpoofingParams
 
 
-BLOCK_PANES = 64  # panes whose windows are summed together
-
-COUNTS = ("cancel_count", "total_orders")
+BLOCK_PANES = 16  # panes whose windows are summed together
+MOST_PANES = 48  # in a block and the windows that begin in it
 
 
 def cancel_windows(orders: DataFrame, params: SpoofingParams = SpoofingParams()) -> DataFrame:
     """Cancel count and rate per trader, symbol and sliding window.
 
     Orders still open count neither as cancelled nor as completed, and a window of open orders
-    alone cannot alert, so they leave before the windows are expanded. On a table whose windows are
-    whole numbers of slides, orders are first folded into panes of one slide, so no order is copied;
-    on a stream, or with other windows, each order goes to every window that holds it.
+    alone cannot alert, so they leave before the windows are expanded. On a table whose windows are a
+    few whole slides long, orders are folded into panes of one slide; on a stream, or with other
+    windows, each order goes to every window that holds it. The sums fold within each task ahead of the
+    single shuffle, so a dominant trader costs no more than any other.
     """
     completed = select_rows(orders, F.col("status").isin("CANCELLED", "FILLED"))
-    whole = params.window_sec % params.slide_sec == 0
-    sums = _windows_of_panes if whole and not orders.isStreaming else _windows_of_orders
+    panes, rest = divmod(params.window_sec, params.slide_sec)
+    short = rest == 0 and panes + BLOCK_PANES <= MOST_PANES
+    sums = _windows_of_panes if short and not orders.isStreaming else _windows_of_orders
     return sums(completed, params).withColumn(
         "cancel_rate", ratio(F.col("cancel_count"), F.col("total_orders"))
     )
 
 
-def _folded(completed: DataFrame, window: Column) -> DataFrame:
-    return completed.groupBy("trader_id", "symbol", window).agg(
+def _windows_of_orders(completed: DataFrame, params: SpoofingParams) -> DataFrame:
+    window = F.window("event_time", seconds(params.window_sec), seconds(params.slide_sec))
+    return completed.groupBy("trader_id", "symbol", window.alias("window")).agg(
         F.count_if(F.col("status") == "CANCELLED").alias("cancel_count"),
         F.count(F.lit(1)).alias("total_orders"),
     )
 
 
-def _windows_of_orders(completed: DataFrame, params: SpoofingParams) -> DataFrame:
-    """The sums fold within each task ahead of the single shuffle."""
-    window = F.window("event_time", seconds(params.window_sec), seconds(params.slide_sec))
-    return _folded(completed, window.alias("window"))
-
-
 def _windows_of_panes(completed: DataFrame, params: SpoofingParams) -> DataFrame:
-    """Panes are folded once, dealt by blocks of time, and summed into windows where they lie.
+    """Counts per pane as columns of one row per trader, symbol and block of panes.
 
-    A block takes the windows that begin in it. Its panes are its own and those of the first windows'
-    reach beyond it, so one pane in BLOCK_PANES / (panes of a window - 1) is sent twice. The second sum
-    needs no shuffle: its keys hold those by which the panes were dealt.
+    A block takes the windows that begin in it, hence also the panes of the next block that they reach
+    into: an order of those, three in sixteen panes by default, counts in two blocks, any other in one.
     """
     slide = params.slide_sec
     reach = params.window_sec // slide - 1
-    pane = _folded(completed, F.window("event_time", seconds(slide)).alias("pane"))
-    number = F.floor(F.unix_seconds("pane.start") / slide)
+    pane = F.floor(F.unix_seconds("event_time") / slide)
     block = lambda n: F.floor(n / BLOCK_PANES)
-    dealt = (
-        pane.select("trader_id", "symbol", number.alias("pane"), *COUNTS)
+    placed = (
+        completed.where(F.col("event_time").isNotNull())
+        .select("trader_id", "symbol", pane.alias("pane"), (F.col("status") == "CANCELLED").alias("cancelled"))
         .withColumn("block", F.explode(F.sequence(block(F.col("pane") - reach), block(F.col("pane")))))
-        .repartition("trader_id", "symbol", "block")
-    )
-    first = F.greatest(F.col("pane") - reach, F.col("block") * BLOCK_PANES)
-    last = F.least(F.col("pane"), F.col("block") * BLOCK_PANES + BLOCK_PANES - 1)
-    windows = (
-        dealt.withColumn("begin", F.explode(F.sequence(first, last)))
-        .groupBy("trader_id", "symbol", "block", "begin")
-        .agg(*[F.sum(name).alias(name) for name in COUNTS])
-    )
-    start = F.col("begin") * slide
-    window = F.struct(
-        F.timestamp_seconds(start).alias("start"),
-        F.timestamp_seconds(start + params.window_sec).alias("end"),
     )
-    return windows.select("trader_id", "symbol", window.alias("window"), *COUNTS)
+    place = F.col("pane") - F.col("block") * BLOCK_PANES
+    panes = range(BLOCK_PANES + reach)
+    counts = [F.count_if((place == k) & F.col("cancelled")).alias(f"c{k}") for k in panes]
+    counts += [F.count_if(place == k).alias(f"n{k}") for k in panes]
+    blocks = placed.groupBy("trader_id", "symbol", "block").agg(*counts)
+
+    def window(k: int) -> Column:
+        start = (F.col("block") * BLOCK_PANES + k) * slide
+        total = lambda letter: sum((F.col(f"{letter}{k + i}") for i in range(1, reach + 1)), F.col(f"{letter}{k}"))
+        return F.struct(
+            F.struct(
+                F.timestamp_seconds(start).alias("start"),
+                F.timestamp_seconds(start + params.window_sec).alias("end"),
+            ).alias("window"),
+            total("c").alias("cancel_count"),
+            total("n").alias("total_orders"),
+        )
+
+    windows = F.array(*[window(k) for k in range(BLOCK_PANES)])
+    return blocks.select("trader_id", "symbol", F.inline(windows)).where(F.col("total_orders") > 0)
 
 
 def spoofing_alerts(
