@@ -61,3 +61,19 @@ def test_landing_job(spark, tmp_path):
     write_lines(tmp_path / "in" / "a.json", *spoof_burst())
     main(["landing", "--folder", str(tmp_path / "in"), "--topics", "orders", "--lake", str(tmp_path / "lake"), "--once"], spark)
     assert spark.read.text(str(tmp_path / "lake" / "bronze")).count() == 12
+
+
+def test_priced_orders_job(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    stamp = 1704144600000  # the time of orders at second 0
+    prints = [{"event_type": "market_tick", "symbol": "AAPL", "price": p, "timestamp_ms": stamp + ms} for p, ms in ((1.5, 0), (2.5, 9000), (3.5, 60_000))]
+    feeds = {
+        "orders": [order("t", "NEW", 10, order_id="1"), order("t", "NEW", 60, order_id="2")],
+        "market-data-stocks": prints,
+        "market-data-crypto": [{**prints[2], "symbol": "BINANCE:BTCUSDT"}],
+    }
+    for topic, events in feeds.items():
+        write_lines(tmp_path / "lake" / "bronze" / f"topic={topic}" / "date=2024-01-01" / "hour=10" / "a.txt", *events)
+    main(["priced-orders", "--lake", lake.root, "--once"], spark)
+    rows = spark.read.parquet(lake.folder("prices", "orders")).collect()
+    assert [(r.order_id, r.tick_ms, r.last_price) for r in rows] == [("1", stamp + 9000, 2.5)]

@@ -21,14 +21,15 @@ from pyspark.sql.streaming import DataStreamWriter
 from tradewatch import schemas
 from tradewatch.operators import export
 from tradewatch.operators.alerts import alert_messages, alerts_since
+from tradewatch.operators.ticks import CRYPTO_TOPIC, STOCK_TOPIC
 from tradewatch.params import ExportParams, LakeParams, SpoofingParams, WashParams
 from tradewatch.session import build_session, use_rocksdb_state
 from tradewatch.sinks.lake import write_csv
 from tradewatch.sinks.messages import case_writer, topic_writer
 from tradewatch.sources import kafka
-from tradewatch.sources.lake import read_bronze
+from tradewatch.sources.lake import bronze_stream, read_bronze
 from tradewatch.sources.messages import parse_alerts, parse_messages, parse_orders
-from tradewatch.streaming import catalog, detectors, lake
+from tradewatch.streaming import catalog, detectors, lake, prices
 
 
 def _source(spark: SparkSession, args: argparse.Namespace, topics: Sequence[str]) -> DataFrame:
@@ -88,6 +89,21 @@ def trades(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
+def priced_orders(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Landed orders with the last landed tick before each."""
+    target = lake.Lake(args.lake)
+
+    def topic(name: str) -> DataFrame:
+        return bronze_stream(spark, target.bronze, name, args.max_files)
+
+    stocks, crypto = (parse_messages(topic(name), schemas.MARKET_TICK) for name in (STOCK_TOPIC, CRYPTO_TOPIC))
+    delay_sec = SpoofingParams.from_env().watermark_sec
+    writer = prices.priced_orders_writer(
+        spark, parse_orders(topic("orders")), stocks.unionByName(crypto), target, delay_sec
+    )
+    _run(writer, args, LakeParams.from_env().cycle_sec)
+
+
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     writer = lake.alert_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
     _run(writer, args, LakeParams.from_env().cycle_sec)
@@ -149,6 +165,7 @@ JOBS = {
     "landing": landing,
     "orders": orders,
     "trades": trades,
+    "priced-orders": priced_orders,
     "alerts": alerts,
     "quarantine": quarantine,
     "alert-gold": alert_gold,

@@ -903,3 +903,23 @@ ORACLES["schema_guard"] = _with(
     UNION ALL SELECT 2, NULL, 'passed', ended FROM counts
     """,
 )
+ORACLES["stream_order_vs_last_tick"] = _with(
+    ORDERS + "," + TICKS,
+    """
+    , quotes AS (
+      SELECT symbol, timestamp_ms, max(price) AS price FROM prints WHERE price <> 0
+      GROUP BY symbol, timestamp_ms
+    ),
+    placed AS (
+      SELECT order_id, trader_id, symbol, side, price, event_time,
+             epoch_us(event_time) // 1000 AS at_ms FROM order_feed WHERE status = 'NEW'
+    ),
+    mark AS (
+      SELECT least((SELECT max(at_ms) FROM placed), (SELECT max(timestamp_ms) FROM quotes)) - 5000 AS at_ms
+    )
+    SELECT order_id, trader_id, p.symbol, side, p.price, event_time,
+           q.timestamp_ms AS tick_ms, q.price AS last_price
+    FROM (SELECT * FROM placed WHERE at_ms < (SELECT at_ms FROM mark)) AS p ASOF LEFT JOIN quotes q
+      ON p.symbol = q.symbol AND p.at_ms >= q.timestamp_ms
+    """,
+)

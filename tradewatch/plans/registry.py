@@ -33,6 +33,7 @@ from tradewatch.sources import messages, tables
 from tradewatch.streaming import catalog as catalog_job
 from tradewatch.streaming import detectors
 from tradewatch.streaming import lake as lake_job
+from tradewatch.streaming import prices as price_job
 
 # The given events are sparse (a trader acts about twice a day), so windows are days instead of
 # minutes; the ratios of size to slide and of window to gap are those of the defaults.
@@ -710,6 +711,32 @@ def late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_job.late_orders(spark, lake, stream.schema).select("order_id", "status", "event_time")
 
 
+@query
+def stream_order_vs_last_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placements and tick messages landed in three steps of time, with a run after each.
+
+    Orders that the ticks have not passed when the input ends stay silent.
+    """
+    lake = lake_job.Lake(working_folder(spark, "lake"))
+    events = _events(spark, sf_dir)
+    columns = ("order_id", "trader_id", "symbol", "side", "price", "event_time")
+    first, second = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-11", "2024-01-21"))
+    ts = F.col("ts")
+    for step in (ts < first, (ts >= first) & (ts < second), ts >= second):
+        placed = tables.order_feed(events.where(step)).where(F.col("status") == "NEW")
+        stamped = placed.withColumn("timestamp", times.iso_micros(F.col("event_time"))).drop("event_time")
+        prints = tables.tick_messages(events.where(step))
+        lines = stamped.select(F.lit("orders").alias("topic"), F.to_json(F.struct("*")).alias("value"))
+        quotes = prints.select(F.lit(ticks.STOCK_TOPIC).alias("topic"), "value")
+        lake_sink.write_bronze(lake_sink.bronze_rows(lines.unionByName(quotes)), lake.bronze)
+        orders = messages.parse_orders(lake_source.bronze_stream(spark, lake.bronze, "orders"))
+        orders = orders.select(*columns)
+        flat = ticks.flatten_ticks(lake_source.bronze_stream(spark, lake.bronze, ticks.STOCK_TOPIC))
+        writer = price_job.priced_orders_writer(spark, orders, flat, lake, SPOOFING.watermark_sec)
+        detectors.run_available(writer)
+    return price_job.priced_orders(spark, lake, orders.schema)
+
+
 @query
 def schema_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the guard reports of three batches, of which the second lacks the order id."""
