@@ -45,6 +45,7 @@ def test_lake_jobs_from_landing_to_catalog(spark, tmp_path):
         write_lines(tmp_path / "lake" / "bronze" / f"topic={topic}" / "date=2024-01-01" / "hour=10" / "a.txt", *events)
     base = ["--lake", lake.root]
     main(["orders", *base, "--once"], spark)
+    main(["order-index", *base, "--once"], spark)
     main(["trades", *base, "--once"], spark)
     main(["alert-gold", *base, "--date", "2024-01-01"], spark)
     main(["rebuild", *base], spark)

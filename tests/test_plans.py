@@ -18,7 +18,7 @@ WRITES = {
     "bronze_incremental_read", "stream_spoofing_alerts", "stream_wash_alerts", "lake_cycle",
     "catalog_rebuild", "catalog_orders_table", "catalog_trades_table", "lake_cycle_orders",
     "stream_malformed_orders", "silver_trades_cycle", "alert_summary_cycle", "alerts_json",
-    "stream_order_vs_last_tick",
+    "stream_order_vs_last_tick", "orders_by_id",
 }
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "Python")
 

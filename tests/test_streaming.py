@@ -446,11 +446,12 @@ def test_folded_parts_are_no_longer_read(spark, lake, monkeypatch):
     for part in (parts[0], parts[2]):
         land(spark, lake, "orders", *part)
         detectors.run_available(order_cycle_writer(spark, lake))
-    for table in lake_job.AGGREGATES:
+    sources = {**{table: lake.parts(table) for table in lake_job.AGGREGATES}, "settled": lake.silver("orders")}
+    for table, folder in sources.items():
         dates = [d.name for d in Path(lake.folds(table)).iterdir() if d.name.startswith("date=")]
         assert dates
         for date in dates:
-            for file in Path(lake.parts(table), date).rglob("part-*"):
+            for file in Path(folder, date).rglob("part-*"):
                 file.write_bytes(b"no longer Parquet")
     land(spark, lake, "orders", *parts[4])
     detectors.run_available(order_cycle_writer(spark, lake))
@@ -458,3 +459,5 @@ def test_folded_parts_are_no_longer_read(spark, lake, monkeypatch):
     found = gold(spark, lake, "trader_daily_activity", wanted.schema)
     plain = lambda rows: sorted(str(sorted(r.asDict().items())) for r in rows)
     assert plain(found) == plain(wanted.collect())
+    orders = lake_silver.silver_orders(parse_messages(read_bronze(spark, lake.bronze, "orders"), schemas.RAW_ORDER))
+    assert plain(current_orders(spark, lake).select(*orders.columns).collect()) == plain(orders.collect())

@@ -29,7 +29,7 @@ from tradewatch.sinks.messages import case_writer, topic_writer
 from tradewatch.sources import kafka
 from tradewatch.sources.lake import bronze_stream, read_bronze
 from tradewatch.sources.messages import parse_alerts, parse_messages, parse_orders
-from tradewatch.streaming import catalog, detectors, lake, prices
+from tradewatch.streaming import catalog, detectors, lake, places, prices
 
 
 def _source(spark: SparkSession, args: argparse.Namespace, topics: Sequence[str]) -> DataFrame:
@@ -84,6 +84,12 @@ def orders(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(writer, args, LakeParams.from_env().cycle_sec)
 
 
+def order_index(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The index of settled orders by id; run it after the orders job."""
+    writer = places.places_writer(spark, lake.Lake(args.lake, args.generation), args.max_files)
+    _run(writer, args, LakeParams.from_env().cycle_sec)
+
+
 def trades(spark: SparkSession, args: argparse.Namespace) -> None:
     writer = lake.trade_cycle_writer(spark, lake.Lake(args.lake), args.max_files)
     _run(writer, args, LakeParams.from_env().cycle_sec)
@@ -164,6 +170,7 @@ JOBS = {
     "wash": wash,
     "landing": landing,
     "orders": orders,
+    "order-index": order_index,
     "trades": trades,
     "priced-orders": priced_orders,
     "alerts": alerts,

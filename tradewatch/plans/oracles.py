@@ -923,3 +923,10 @@ ORACLES["stream_order_vs_last_tick"] = _with(
       ON p.symbol = q.symbol AND p.at_ms >= q.timestamp_ms
     """,
 )
+ORACLES["orders_by_id"] = _with(
+    SILVER,
+    """
+    SELECT * FROM silver
+    WHERE order_id IN (SELECT order_id FROM order_feed WHERE trader_id = 'spoofer_00010')
+    """,
+)

@@ -33,6 +33,7 @@ from tradewatch.sources import messages, tables
 from tradewatch.streaming import catalog as catalog_job
 from tradewatch.streaming import detectors
 from tradewatch.streaming import lake as lake_job
+from tradewatch.streaming import places as place_job
 from tradewatch.streaming import prices as price_job
 
 # The given events are sparse (a trader acts about twice a day), so windows are days instead of
@@ -615,6 +616,21 @@ def lake_cycle_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_job.current_orders(spark, lake).drop("event_at", "placed_at", "cancelled_at")
 
 
+@query
+def orders_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup of the orders of one trader through the index of all settled orders."""
+
+    def job(spark: SparkSession, lake: lake_job.Lake):
+        detectors.run_available(lake_job.order_cycle_writer(spark, lake))
+        return place_job.places_writer(spark, lake)
+
+    lake = _cycled_lake(spark, sf_dir, job)
+    asked = _orders(spark, sf_dir).where(F.col("trader_id") == DRILLDOWN_TRADER).select("order_id").distinct()
+    # The orders of one trader, some dozens.
+    found = place_job.orders_by_id(spark, lake, [row["order_id"] for row in asked.collect()])
+    return found.drop("event_at", "placed_at", "cancelled_at")
+
+
 @query
 def stream_malformed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine table after three cycles."""

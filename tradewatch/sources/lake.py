@@ -80,15 +80,14 @@ def read_dated(
 
 
 def read_parts(
-    spark: SparkSession, root: str, schema: T.StructType, dates: list[str]
+    spark: SparkSession, root: str, schema: T.StructType, dates: list[str] | None
 ) -> DataFrame | None:
-    """Parts of an aggregate of some dates; only the folders of those dates are listed.
+    """Parts of some dates, or of all; only the folders of those dates are listed.
 
     The schema holds the partition columns date and version.
     """
 
-    def read(some: list[str]) -> DataFrame | None:
-        paths = [f"{root}/date={date}" for date in some]
+    def read(paths: list[str]) -> DataFrame | None:
         try:
             return spark.read.schema(schema).option("basePath", root).parquet(*paths)
         except AnalysisException as error:
@@ -96,11 +95,12 @@ def read_parts(
                 raise
             return None
 
-    whole = read(dates)
-    if whole is not None or len(dates) == 1:
+    paths = [root] if dates is None else [f"{root}/date={date}" for date in dates]
+    whole = read(paths) if paths else None
+    if whole is not None or len(paths) == 1:
         return whole
     # A date all of whose rows lack a key has no folder.
-    found = [rows for date in dates if (rows := read([date])) is not None]
+    found = [rows for path in paths if (rows := read([path])) is not None]
     return reduce(DataFrame.unionByName, found) if found else None
 
 

@@ -36,6 +36,8 @@ SILVER_ORDER = T.StructType(
         T.StructField("live", T.BooleanType()),
     ]
 )
+# As the table holds it, partitioned by date and version.
+SETTLED = T.StructType([*SILVER_ORDER.fields, T.StructField("date", T.StringType())])
 SILVER_TRADE = T.StructType(
     [
         T.StructField(f.name, {"price": T.DoubleType(), "quantity": T.LongType()}.get(f.name, f.dataType))
@@ -102,12 +104,19 @@ def landing_writer(messages: DataFrame, lake: Lake, landed_at: Column | None = N
 def current_orders(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
     """The settled orders: one row per order, under the date of its latest event.
 
-    Every cycle appends the orders it changed; the row of the last cycle counts. An order that moved
-    to another date leaves a row there that is not live.
+    Every cycle writes the orders it changed under their date and its number; the row of the last cycle
+    counts. An order that moved to another date leaves a row there that is not live. Once many cycles
+    have written to a date its rows are merged beside them, and readers see either them or the merged.
     """
-    rows = source.read_dated(spark, lake.silver("orders"), SILVER_ORDER, dates)
-    latest = keep_latest(rows, ["date", "order_id"], [F.col("version")])
-    return latest.where("live").drop("live", "version")
+    rows = _unfolded(spark, lake.silver("orders"), lake.folds("settled"), SETTLED, dates)
+    if rows is None:
+        rows = spark.createDataFrame([], SETTLED)
+    return _latest_rows(rows).drop("live", "version")
+
+
+def _latest_rows(rows: DataFrame) -> DataFrame:
+    """Of each order on a date the row of the last cycle, unless it ended there."""
+    return keep_latest(rows, ["date", "order_id"], [F.col("version")]).where("live").select(*SETTLED.fieldNames())
 
 
 def current_trades(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -174,7 +183,7 @@ def order_cycle_writer(
 
     def cycle(changes: DataFrame, batch_id: int) -> None:
         changes = changes.persist()
-        append_dated(_settled_rows(changes, batch_id), lake.silver("orders"))
+        _write_by_date(_settled_rows(changes), lake.silver("orders"), batch_id)
         dates = _write_parts(changes, lake, batch_id)
         changes.unpersist()
         refresh_order_gold(spark, lake, dates)
@@ -189,7 +198,7 @@ def order_cycle_writer(
     )
 
 
-def _settled_rows(changes: DataFrame, batch_id: int) -> DataFrame:
+def _settled_rows(changes: DataFrame) -> DataFrame:
     """New rows of the changed orders, and an end for the rows they leave behind on other dates."""
     moved = F.col("old.date") != F.col("new.date")
     ended = F.when(moved, F.struct(F.col("old").alias("row"), F.lit(False).alias("live")))
@@ -197,7 +206,7 @@ def _settled_rows(changes: DataFrame, batch_id: int) -> DataFrame:
     return (
         changes.select("order_id", F.explode(both).alias("one"))
         .where(F.col("one").isNotNull())
-        .select("order_id", "one.row.*", "one.live", F.lit(batch_id).cast("long").alias("version"))
+        .select("order_id", "one.row.*", "one.live")
     )
 
 
@@ -437,46 +446,59 @@ def read_gold(spark: SparkSession, lake: Lake, table: str, schema: T.StructType)
     return rows.where(F.col(AGGREGATES[table].key).isNotNull())
 
 
-def _parts_of(spark: SparkSession, lake: Lake, name: str, dates: list[str]) -> DataFrame | None:
+def _unfolded(
+    spark: SparkSession, parts_root: str, folds_root: str, schema: T.StructType, dates: list[str] | None
+) -> DataFrame | None:
     """The latest fold of each date and the parts of later cycles."""
-    signed = T.StructType([*SILVER_ORDER.fields, T.StructField("date", T.StringType())])
-    none = spark.createDataFrame([], signed.add("sign", T.IntegerType()))
-    schema = AGGREGATES[name].parts(none).schema.add("version", T.LongType())
-    parts = source.read_parts(spark, lake.parts(name), schema, dates)
-    folds = source.read_parts(spark, lake.folds(name), schema, dates)
+    parts = source.read_parts(spark, parts_root, schema, dates)
+    folds = source.read_parts(spark, folds_root, schema, dates)
     if parts is None or folds is None:
         return parts
-    # A few calendar days; as plain conditions they keep the files of folded parts from being read.
+    # A row per calendar day. As a plain condition on the folders' names, folded parts are not read.
     last = folds.groupBy("date").agg(F.max("version").alias("upto")).collect()
-    date, version = F.col("date"), F.col("version")
-    later = ~date.isin([row["date"] for row in last])
-    latest = F.lit(False)
-    for row in last:
-        later |= (date == row["date"]) & (version > row["upto"])
-        latest |= (date == row["date"]) & (version == row["upto"])
-    return folds.where(latest).unionByName(parts.where(later))
+    numbers = [F.lit(value) for row in last for value in (row["date"], row["upto"])]
+    upto = F.try_element_at(F.create_map(*numbers), F.col("date"))
+    version = F.col("version")
+    return folds.where(version == upto).unionByName(parts.where(version > F.coalesce(upto, F.lit(-1))))
+
+
+def _parts_of(spark: SparkSession, lake: Lake, name: str, dates: list[str]) -> DataFrame | None:
+    none = spark.createDataFrame([], T.StructType([*SETTLED.fields, T.StructField("sign", T.IntegerType())]))
+    schema = AGGREGATES[name].parts(none).schema.add("version", T.LongType())
+    return _unfolded(spark, lake.parts(name), lake.folds(name), schema, dates)
+
+
+def _fold(
+    parts: DataFrame | None, root: str, upto: int, merge: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Merge the parts of the dates that have gathered FOLD_AFTER of them into one."""
+    if parts is None:
+        return
+    many = parts.groupBy("date").agg(F.count_distinct("version").alias("n"))
+    # A few calendar days.
+    full = [row["date"] for row in many.where(F.col("n") >= FOLD_AFTER).collect()]
+    if full:
+        _write_by_date(merge(parts.where(F.col("date").isin(full))), root, upto)
 
 
 def fold_parts(spark: SparkSession, lake: Lake, dates: list[str], upto: int) -> None:
-    """Fold the parts of those dates that have gathered FOLD_AFTER of them, up to a cycle, into one.
+    """Fold the parts and the settled orders of those dates, up to a cycle, where many have gathered.
 
     A fold is written beside the parts under a number of its own and replaces nothing, so readers see
-    either the parts or their sum; what it covers is no longer read.
+    either the parts or their sum; what it covers is no longer read. Of settled orders it keeps the
+    last row of each and none that ended, in larger files.
     """
+    if not dates:
+        return
     for name, aggregate in AGGREGATES.items():
-        parts = _parts_of(spark, lake, name, dates) if dates else None
-        if parts is None:
-            continue
-        many = parts.groupBy("date").agg(F.count_distinct("version").alias("n"))
-        # A few calendar days.
-        full = [row["date"] for row in many.where(F.col("n") >= FOLD_AFTER).collect()]
-        if full:
-            sums = (
-                parts.where(F.col("date").isin(full))
-                .groupBy(*aggregate.keys)
-                .agg(*[F.try_sum(part).cast(parts.schema[part].dataType).alias(part) for part in aggregate.sums])
-            )
-            _write_by_date(sums, lake.folds(name), upto)
+
+        def added(parts: DataFrame, aggregate: Aggregate = aggregate) -> DataFrame:
+            sums = [F.try_sum(part).cast(parts.schema[part].dataType).alias(part) for part in aggregate.sums]
+            return parts.groupBy(*aggregate.keys).agg(*sums)
+
+        _fold(_parts_of(spark, lake, name, dates), lake.folds(name), upto, added)
+    settled = _unfolded(spark, lake.silver("orders"), lake.folds("settled"), SETTLED, dates)
+    _fold(settled, lake.folds("settled"), upto, _latest_rows)
 
 
 def refresh_order_gold(spark: SparkSession, lake: Lake, dates: list[str]) -> None:
