@@ -19,7 +19,8 @@ def test_parameters_come_from_the_environment():
     env = {"MATCH_WINDOW_SEC": "10", "MAX_PRICE_DIFF_PCT": "1", "MAX_QTY_DIFF_PCT": "20"}
     assert WashParams.from_env(env) == WashParams(300, 10, 3, 1.0, 20.0)
     assert WashParams.from_env({}).price_tolerance == 0.005
-    assert LakeParams.from_env({}) == LakeParams(60, 300)
+    assert LakeParams.from_env({}) == LakeParams(60, 300, None)
+    assert LakeParams.from_env({"LOOKBACK_HOURS": "24"}).lookback_hours == 24
     assert ExportParams().alert_limit is None
 
 

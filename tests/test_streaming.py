@@ -461,3 +461,19 @@ def test_folded_parts_are_no_longer_read(spark, lake, monkeypatch):
     assert plain(found) == plain(wanted.collect())
     orders = lake_silver.silver_orders(parse_messages(read_bronze(spark, lake.bronze, "orders"), schemas.RAW_ORDER))
     assert plain(current_orders(spark, lake).select(*orders.columns).collect()) == plain(orders.collect())
+
+
+def test_first_cycle_looks_back_some_hours_and_a_later_one_leaves_nothing_out(spark, lake):
+    def land_hours_ago(hours, order_id):
+        value = json.dumps(order("t", "NEW", 0, order_id=order_id))
+        rows = spark.createDataFrame([("orders", value)], "topic string, value string")
+        write_bronze(bronze_rows(rows, F.current_timestamp() - F.make_interval(hours=F.lit(hours))), lake.bronze)
+
+    for hours, order_id in ((60, "before"), (23, "within"), (0, "now")):
+        land_hours_ago(hours, order_id)
+    detectors.run_available(order_cycle_writer(spark, lake, lookback_hours=24))
+    assert sorted(r.order_id for r in current_orders(spark, lake).collect()) == ["now", "within"]
+    # A shorter look back on a later run: the hour of the first run stays.
+    land_hours_ago(20, "between")
+    detectors.run_available(order_cycle_writer(spark, lake, lookback_hours=1))
+    assert sorted(r.order_id for r in current_orders(spark, lake).collect()) == ["between", "now", "within"]

@@ -80,8 +80,10 @@ def landing(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def orders(spark: SparkSession, args: argparse.Namespace) -> None:
-    writer = lake.order_cycle_writer(spark, lake.Lake(args.lake, args.generation), args.max_files)
-    _run(writer, args, LakeParams.from_env().cycle_sec)
+    params = LakeParams.from_env()
+    target = lake.Lake(args.lake, args.generation)
+    writer = lake.order_cycle_writer(spark, target, args.max_files, lookback_hours=params.lookback_hours)
+    _run(writer, args, params.cycle_sec)
 
 
 def order_index(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -64,16 +64,18 @@ class WashParams:
 
 @dataclass(frozen=True)
 class LakeParams:
-    """Cadence of the lake jobs."""
+    """Cadence of the lake jobs, and how far back the first order cycle looks, None for all."""
 
     landing_sec: int = 60
     cycle_sec: int = 300
+    lookback_hours: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LakeParams:
         return cls(
             landing_sec=_read(env, "BATCH_SECONDS", cls.landing_sec, int),
             cycle_sec=_read(env, "INTERVAL_SECONDS", cls.cycle_sec, int),
+            lookback_hours=_read(env, "LOOKBACK_HOURS", cls.lookback_hours, int),
         )
 
 

@@ -163,8 +163,33 @@ def schema_guard_writer(
     )
 
 
+FIRST_HOUR = T.StructType([T.StructField("date", T.StringType()), T.StructField("hour", T.StringType())])
+
+
+def landed_since(spark: SparkSession, lake: Lake, job: str, hours: int) -> Column:
+    """Condition on the landing folders: not before the hour that lay so many hours before a job's first run.
+
+    The hour is kept, so that a run after a long pause leaves nothing out.
+    """
+    folder = lake.folder("first_hours", job)
+    kept = source.read_versions(spark, folder, FIRST_HOUR).first()
+    if kept is None:
+        at = F.current_timestamp() - F.make_interval(hours=F.lit(hours))
+        first = spark.range(1).select(
+            F.date_format(at, "yyyy-MM-dd").alias("date"), F.date_format(at, "HH").alias("hour")
+        )
+        write_version(first, folder, 0)
+        kept = source.read_versions(spark, folder, FIRST_HOUR).first()
+    date, hour = F.col("date"), F.col("hour")
+    return (date > kept["date"]) | ((date == kept["date"]) & (hour >= kept["hour"]))
+
+
 def order_cycle_writer(
-    spark: SparkSession, lake: Lake, max_files: int | None = None, guarded: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    max_files: int | None = None,
+    guarded: bool = False,
+    lookback_hours: int | None = None,
 ) -> DataStreamWriter:
     """Settle the orders of newly landed lines and renew the aggregates of the dates they touch.
 
@@ -173,13 +198,16 @@ def order_cycle_writer(
     an order's new and old row. Neither depends on how lines fall into cycles, and a repeated cycle
     writes the same rows of the same version again. max_files splits a large backlog into several
     cycles. The state needs the RocksDB provider, which this switches on for the session. guarded: read
-    only lines that the schema guard has let through.
+    only lines that the schema guard has let through. lookback_hours: of what landed before the first
+    run only the last hours; none for all.
     """
     use_rocksdb_state(spark)
     if guarded:
         new_lines = source.checked_stream(spark, lake.checked, max_files)
     else:
         new_lines = source.bronze_stream(spark, lake.bronze, "orders", max_files)
+    if lookback_hours is not None:
+        new_lines = new_lines.where(landed_since(spark, lake, lake.of_orders("orders"), lookback_hours))
 
     def cycle(changes: DataFrame, batch_id: int) -> None:
         changes = changes.persist()
