@@ -112,3 +112,14 @@ def test_awkward_and_empty(awkward, empty):
         "é ü 漢字 🙂 mail [EMAIL] now \x00 end"
     ]
     assert pii.find(empty).count() == 0 and pii.redact(empty).count() == 0
+
+
+def test_every_copy_of_a_text_gains_its_spans(make_docs):
+    known = [(i, f"please write to person{i}@mail.example.org today") for i in range(6)]
+    copies = [(100 + i, "please write to jürgen@intranet today") for i in range(90)]
+    rest = [(None, "please write to jürgen@intranet today"), (7, None), (8, ""), (9, "room 4"), (9, "room 4")]
+    rows = pii.find(make_docs(*known, *copies, *rest)).collect()
+    assert len(rows) == len(known) + len(copies) + len(rest)
+    gained = [r.doc_id for r in rows if [tuple(s) for s in r.spans] == [("email", 16, 31)]]
+    assert sorted(gained, key=str) == sorted([i for i, _ in copies] + [None], key=str)
+    assert all(r.base == r.spans for r in rows if r.doc_id not in gained)

@@ -271,19 +271,28 @@ def _base_of(mentions_column: str = "mentions") -> Column:
 _NO_SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
+SALTS = 32  # tasks over which the rows of one text meet the spans found in it
+
+
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, base and spans (base and discovered), arrays of (kind, start, end), of each row."""
+    """doc_id, base and spans (base and discovered), arrays of (kind, start, end), of each row.
+
+    Rows without other mentions than base ones cannot gain spans and pass by the last join.
+    """
     # Texts stay behind; their rows are small from here on.
     rows = settle(
         with_mentions(docs.select("doc_id", "text"))
         .select("doc_id", _text_key().alias("text_key"), "mentions")
         .withColumn("base", _base_of())
+        .withColumn("salt", F.monotonically_increasing_id() % SALTS)
     )
-    extra = extra_spans(rows)
-    return (
-        rows.join(extra, "text_key", "left")
-        .withColumn("extra", F.coalesce("extra", F.array().cast(_NO_SPANS)))
-        .select("doc_id", "base", F.array_union("base", "extra").alias("spans"))
+    extra = extra_spans(rows).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    )
+    open_ones = F.coalesce(F.exists("mentions", lambda m: ~m["base"]), F.lit(False))
+    joined = rows.filter(open_ones).join(extra, ["text_key", "salt"], "left")
+    return joined.unionByName(rows.filter(~open_ones), allowMissingColumns=True).select(
+        "doc_id", "base", F.array_union("base", F.coalesce("extra", F.array().cast(_NO_SPANS))).alias("spans")
     )
 
 
