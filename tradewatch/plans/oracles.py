@@ -88,22 +88,29 @@ filled AS (
          epoch_us(event_time) // 1000000 // 432000 * 432000 AS start_s
   FROM order_feed WHERE status = 'FILLED'
 ),
+opposed AS (
+  SELECT buy.symbol, buy.start_s, buy.order_id AS buy_order_id, sell.order_id AS sell_order_id,
+         buy.trader_id AS buy_trader_id, sell.trader_id AS sell_trader_id,
+         sell.at_s - buy.at_s AS gap_sec,
+         buy.price + sell.price AS price_sum, abs(buy.price - sell.price) AS price_gap,
+         CAST(buy.quantity AS DOUBLE) + CAST(sell.quantity AS DOUBLE) AS size_sum,
+         abs(CAST(buy.quantity AS DOUBLE) - CAST(sell.quantity AS DOUBLE)) AS size_gap
+  FROM (FROM filled WHERE side = 'buy') AS buy
+  JOIN (FROM filled WHERE side = 'sell') AS sell USING (symbol, start_s)
+  WHERE buy.trader_id <> sell.trader_id
+),
+deviations AS (
+  SELECT *, price_gap / (price_sum / CAST(2 AS DOUBLE)) AS price_off,
+         size_gap / (size_sum / CAST(2 AS DOUBLE)) AS size_off
+  FROM opposed WHERE abs(gap_sec) <= 43200
+),
 matches AS (
-  SELECT b.symbol, b.order_id AS buy_order_id, s.order_id AS sell_order_id,
-         b.trader_id AS buy_trader_id, s.trader_id AS sell_trader_id,
-         abs(b.price - s.price) / ((b.price + s.price) / CAST(2 AS DOUBLE)) * CAST(100 AS DOUBLE)
-           AS price_diff_pct,
-         s.at_s - b.at_s AS gap_sec,
-         make_timestamp(b.start_s * 1000000) AS window_start,
-         make_timestamp((b.start_s + 432000) * 1000000) AS window_end
-  FROM filled b JOIN filled s
-    ON b.side = 'buy' AND s.side = 'sell' AND b.symbol = s.symbol AND b.start_s = s.start_s
-   AND b.trader_id <> s.trader_id
-   AND abs(b.price - s.price) / ((b.price + s.price) / CAST(2 AS DOUBLE)) <= CAST(0.005 AS DOUBLE)
-   AND abs(CAST(b.quantity AS DOUBLE) - CAST(s.quantity AS DOUBLE))
-       / ((CAST(b.quantity AS DOUBLE) + CAST(s.quantity AS DOUBLE)) / CAST(2 AS DOUBLE))
-       <= CAST(0.1 AS DOUBLE)
-   AND s.at_s - b.at_s BETWEEN -43200 AND 43200
+  SELECT symbol, buy_order_id, sell_order_id, buy_trader_id, sell_trader_id,
+         price_off * CAST(100 AS DOUBLE) AS price_diff_pct, gap_sec,
+         make_timestamp(start_s * 1000000) AS window_start,
+         make_timestamp((start_s + 432000) * 1000000) AS window_end
+  FROM deviations
+  WHERE price_off <= CAST(0.005 AS DOUBLE) AND size_off <= CAST(0.1 AS DOUBLE)
 ),
 wash AS (
   SELECT 'WASH_TRADING' AS alert_type,
