@@ -154,3 +154,15 @@ def test_swapping_sides_keeps_the_pairs(spark):
     straight = wash_alerts(orders).select(*columns)
     swapped = wash_alerts(orders.withColumn("side", other)).select(*columns)
     assert sorted(straight.collect()) == sorted(swapped.collect())
+
+
+def test_matches_are_counted_where_they_arise(make_orders):
+    events = [leg("A", "buy", s) for s in (0, 10, 20)] + [leg("B", "sell", s + 1) for s in (0, 10, 20)]
+    plan = wash_alerts(make_orders(*events))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Join")]
+
+
+def test_traders_of_all_lanes_meet_both_ways(make_orders):
+    events = [leg(f"T{n}", "buy", 0) for n in range(20)] + [leg(f"T{n}", "sell", 1) for n in range(20)]
+    found = alerts(make_orders(*events), WashParams(min_match_count=2))
+    assert len(found) == 190 and {row.match_count for row in found} == {2}
