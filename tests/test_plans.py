@@ -9,6 +9,7 @@ from tradewatch.operators.catalog import silver_alerts_sql
 from tradewatch.operators.export import balanced_alert_sample
 from tradewatch.operators.spoofing import spoofing_alerts
 from tradewatch.operators.wash import wash_alerts
+from tradewatch.plans import registry
 from tradewatch.plans.oracles import ORACLES
 from tradewatch.params import ExportParams
 from tradewatch.plans.registry import QUERIES
@@ -92,3 +93,26 @@ def test_samples_take_the_top_rows_of_each_task(spark):
 def test_last_tick_needs_no_sort_before_its_shuffle(spark):
     text = plan(QUERIES["latest_tick_per_symbol"](spark, SF_DIR))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_gold_overwrite_computes_the_activity_once(spark, monkeypatch):
+    plans = []
+
+    def record(rows, root):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(registry.lake_sink, "overwrite_dates", record)
+    registry.QUERIES["gold_partition_overwrite"](spark, SF_DIR)
+    assert "InMemoryRelation" in plans[0] and "InMemoryRelation" in plans[1]
+
+
+def test_case_lifecycle_finds_the_alerts_once(spark, monkeypatch):
+    plans = []
+
+    def record(reviews, lake, version):
+        plans.append(reviews._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(registry.lake_job, "write_reviews", record)
+    monkeypatch.setattr(registry.detectors, "run_available", lambda writer: None)
+    registry.QUERIES["case_lifecycle"](spark, SF_DIR)
+    assert plans and all("Join" not in plan for plan in plans)
