@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewatch.operators import lake_gold, lake_silver
+from tradewatch.sinks.lake import bronze_rows, write_bronze
+from tradewatch.sources.lake import read_bronze
 
 RAW_DDL = (
     "order_id string, trader_id string, trader_type string, symbol string, side string, "
@@ -180,3 +182,11 @@ def test_merged_trades_keep_one_row_per_trade(spark):
     timed = spark.createDataFrame(rows, ddl).withColumn("event_at", F.col("at").cast("timestamp"))
     (kept,) = lake_silver.merge_silver_trades(timed.drop("at")).collect()
     assert (kept.price, kept.quantity) == (2.0, 2)
+
+
+def test_raw_lines_are_compressed_and_read_back(spark, tmp_path):
+    lines = spark.range(2000).select(F.format_string('{"trade_id": "%d"}', "id").alias("value"), F.lit("trades").alias("topic"))
+    write_bronze(bronze_rows(lines.coalesce(1)), str(tmp_path))
+    (part,) = tmp_path.rglob("part-*")
+    assert part.stat().st_size < 20_000
+    assert read_bronze(spark, str(tmp_path), "trades").select("value").distinct().count() == 2000
