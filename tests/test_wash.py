@@ -5,6 +5,7 @@ from datetime import timedelta
 from conftest import ORDER_DDL, START
 from pyspark.sql import functions as F
 
+from tradewatch.operators import wash_pairs
 from tradewatch.operators.wash import wash_alerts, wash_matches
 from tradewatch.params import WashParams
 
@@ -166,3 +167,32 @@ def test_traders_of_all_lanes_meet_both_ways(make_orders):
     events = [leg(f"T{n}", "buy", 0) for n in range(20)] + [leg(f"T{n}", "sell", 1) for n in range(20)]
     found = alerts(make_orders(*events), WashParams(min_match_count=2))
     assert len(found) == 190 and {row.match_count for row in found} == {2}
+
+
+def test_alerts_join_blocks_of_traders_not_legs(make_orders):
+    events = [leg("A", "buy", 0), leg("B", "sell", 1)]
+    plan = wash_alerts(make_orders(*events))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "time_cell" not in plan
+
+
+def test_bounded_pieces_agree_with_the_leg_by_leg_join(spark, monkeypatch):
+    monkeypatch.setattr(wash_pairs, "CELLS", 5)
+    orders = spark.createDataFrame(random_orders(7, 300, symbols=1, traders=40), ORDER_DDL)
+    odd = [
+        ("n1", None, "normal", "S0", "buy", 100.0, 100, "FILLED", START),
+        ("n2", "t1", "normal", "S0", "buy", None, 100, "FILLED", START),
+        ("n3", "t1", "normal", "S0", "sell", 100.0, None, "FILLED", START),
+        ("n4", "t2", "normal", None, "sell", 100.0, 100, "FILLED", START),
+        ("n5", "t2", "normal", "S0", "sell", 100.0, -100, "FILLED", START),
+        ("n6", "t2", "normal", "S0", "sell", 0.0, 100, "FILLED", START),
+    ]
+    orders = orders.unionByName(spark.createDataFrame(odd, ORDER_DDL))
+    for params in (WashParams(min_match_count=1), WashParams(min_match_count=2, max_qty_diff_pct=250.0)):
+        folded, plain = (
+            sorted(
+                (r.trader_id_1, r.trader_id_2, r.symbol, r.match_count, round(r.avg_price_diff_pct, 6), r.window_start)
+                for r in wash_alerts(orders, params, F.col("window_end"), fold).collect()
+            )
+            for fold in (True, False)
+        )
+        assert folded == plain and folded
