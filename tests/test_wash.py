@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from datetime import timedelta
 
+import pyarrow as pa
 from conftest import ORDER_DDL, START
 from pyspark.sql import functions as F
 
@@ -196,3 +197,18 @@ def test_bounded_pieces_agree_with_the_leg_by_leg_join(spark, monkeypatch):
             for fold in (True, False)
         )
         assert folded == plain and folded
+
+
+def test_a_lane_with_itself_may_list_its_traders_in_two_orders():
+    def trader(name, buys, sells):
+        legs = lambda times: [{"at": t, "price": 100.0, "size": 10.0, "copies": 1} for t in times]
+        return {"trader_id": name, "buy": legs(buys), "sell": legs(sells)}
+
+    block = [trader("A", [0, 1], []), trader("B", [], [2, 3]), trader("C", [200], [])]
+    row = {"start": 0, "symbol": "S", "low_lane": 1, "high_lane": 1, "low_traders": block, "high_traders": block[::-1]}
+    leg = pa.struct({"at": pa.int64(), "price": pa.float64(), "size": pa.float64(), "copies": pa.int64()})
+    members = pa.list_(pa.struct({"trader_id": pa.string(), "buy": pa.list_(leg), "sell": pa.list_(leg)}))
+    kinds = {"low_traders": members, "high_traders": members}
+    batch = pa.RecordBatch.from_pydict({name: pa.array([value], kinds.get(name)) for name, value in row.items()})
+    (found,) = wash_pairs.pair_counter(300, 30, 0.005, 0.1, 0.2, 1)(iter([batch]))
+    assert [(r["trader_id_1"], r["trader_id_2"], r["match_count"]) for r in found.to_pylist()] == [("A", "B", 4)]
