@@ -79,3 +79,23 @@ def test_keep_one(spark, make_docs, awkward, empty):
     again = near.keep_one(awkward)
     assert again.columns == awkward.columns
     assert sorted(r.doc_id for r in again.collect()) == [1, 3, 6, 7, 8]
+
+
+def test_texts_are_shuffled_once_to_keep_one(make_docs):
+    docs = make_docs((1, "a b c d e f"), (2, "a b c d e f"), (3, "other"))
+    plan = near.keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 2 and all("__hash" in line or "__kept" in line for line in shuffles)
+
+
+def test_variants_are_not_shuffled_to_meet_sizes(spark, make_docs, monkeypatch):
+    plans = []
+
+    def record(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links)
+
+    components = near.components
+    monkeypatch.setattr(near, "components", record)
+    near.classes(make_docs((1, "a b c"), (2, "a b c"), (3, "other"))).collect()
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]

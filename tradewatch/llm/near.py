@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.llm import words as W
-from tradewatch.llm.scratch import settle
+from tradewatch.llm.scratch import settle, stored
 from tradewatch.llm.simhash import components
 
 SHINGLE = 5
@@ -193,10 +193,13 @@ def links(texts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.call_function("shiftleft", (F.col("s") * each + F.col("k")).cast("long"), F.lit(SEGMENT_BITS))
     )
     # A variant key holds the texts of two values; both count in full, or one is at most half a block.
-    sizes = (
+    # Read from files, the sizes of the few large keys are known to be small, and the variants, a hundred
+    # of every text, need no shuffle to meet them.
+    sizes = stored(
         hot.select("*", F.explode(variant).alias("k"))
         .groupBy(key.alias("key"))
-        .agg(F.ceil((F.sum("count") + block_rows / 2) * 2 / block_rows).cast("long").alias("n"))
+        .agg(F.ceil((F.sum("count") + block_rows / 2) * 2 / block_rows).cast("long").alias("n")),
+        "sizes",
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
     dealt = (
@@ -240,9 +243,14 @@ def keep_one(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row of each class of near copies, all columns: that of smallest doc_id, null ids last."""
     columns = docs.columns
     least = settle(classes(docs, block_rows).groupBy("class").agg(F.min("rank").alias("__rank")))
-    rank = least.select(F.col("__rank.doc_id").alias("__id"), F.col("__rank.hash").alias("__kept")).distinct()
+    rank = least.select(F.col("__rank.doc_id").alias("__id"), F.col("__rank.hash").alias("__kept"))
     marked = docs.withColumn("__hash", F.xxhash64(*columns))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept"))
-    found = marked.join(rank, same)
-    # Of rows alike in all columns one stays; they share id and hash, so few others meet them.
-    return found.select(*columns).dropDuplicates()
+    # The ids are compared behind the join on the hash alone, so that the texts, once dealt by their
+    # hash, lie right for the last step too.
+    known = F.col("doc_id").isNotNull() & F.col("__id").isNotNull()
+    same = F.when(known, F.col("doc_id") == F.col("__id")).otherwise(
+        F.col("doc_id").isNull() & F.col("__id").isNull()
+    )
+    found = marked.join(rank, (F.col("__hash") == F.col("__kept")) & same, "left_semi")
+    # Of rows alike in all columns one stays; they share the hash, so they lie in one task already.
+    return found.dropDuplicates(["__hash", *columns]).select(*columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,6 +32,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows as Parquet below the checkpoint folder and read them, so Spark knows their size."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 _shipped: set[str] = set()
 
 
