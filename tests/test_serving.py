@@ -1,9 +1,12 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewatch import schemas
 from tradewatch.operators import cases, serving
+from tradewatch.operators.alerts import alert_digest, all_alerts
+from tradewatch.operators.lake_gold import alert_summary
 from tradewatch.params import ServingParams
 
 AT = datetime(2024, 1, 1, 9, 0, 0)
@@ -157,3 +160,16 @@ def test_case_states(spark, alerts):
     again = cases.current_cases(first.unionByName(later).unionByName(first), reviews.unionByName(reviews))
     assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
     assert cases.current_cases(first, reviews.limit(0)).where("status = 'open'").count() == 4
+
+
+def test_digest_rows_count_as_their_alerts(make_orders):
+    legs = [(f"T{n}", "FILLED", 3 * n + k, {"side": side}) for n in range(6) for k, side in enumerate(("buy", "buy", "sell", "sell"))]
+    orders = make_orders(*legs, *[("s", "CANCELLED", k) for k in range(12)])
+    views = (
+        serving.alert_kpis, serving.alert_filter_options, serving.asset_risk_counts, serving.alert_hourly_volume,
+        alert_summary,
+    )
+    folded, plain = (find(orders, detected_at=F.col("window_end")) for find in (alert_digest, all_alerts))
+    assert plain.count() > folded.count()
+    for view in views:
+        assert sorted(view(folded).collect()) == sorted(view(plain).collect())

@@ -2,12 +2,13 @@ import random
 from collections import defaultdict
 from datetime import timedelta
 
+import numpy as np
 import pyarrow as pa
 from conftest import ORDER_DDL, START
 from pyspark.sql import functions as F
 
 from tradewatch.operators import wash_pairs
-from tradewatch.operators.wash import wash_alerts, wash_matches
+from tradewatch.operators.wash import wash_alerts, wash_digest, wash_matches
 from tradewatch.params import WashParams
 
 # START lies in the tumbling window 21:30-21:35, which ends 60 seconds later.
@@ -212,3 +213,51 @@ def test_a_lane_with_itself_may_list_its_traders_in_two_orders():
     batch = pa.RecordBatch.from_pydict({name: pa.array([value], kinds.get(name)) for name, value in row.items()})
     (found,) = wash_pairs.pair_counter(300, 30, 0.005, 0.1, 0.2, 1)(iter([batch]))
     assert [(r["trader_id_1"], r["trader_id_2"], r["match_count"]) for r in found.to_pylist()] == [("A", "B", 4)]
+
+
+def test_digest_counts_the_alerts_and_keeps_the_first_pair(spark, monkeypatch):
+    orders = spark.createDataFrame(random_orders(8, 300, symbols=2, traders=30), ORDER_DDL)
+    params = WashParams(min_match_count=2)
+    expected = defaultdict(list)
+    for r in alerts(orders, params):
+        key = (r.trader_id_1, r.trader_id_2, r.match_count, round(r.avg_price_diff_pct, 6))
+        expected[r.symbol, r.window_start].append(key)
+    for cells in (5, wash_pairs.CELLS):
+        monkeypatch.setattr(wash_pairs, "CELLS", cells)
+        found = defaultdict(list)
+        for r in wash_digest(orders, params, F.col("window_end")).collect():
+            found[r.symbol, r.window_start].append(r)
+        assert found.keys() == expected.keys() and expected
+        for place, rows in found.items():
+            pairs = expected[place]
+            assert sum(r.alert_count for r in rows) == len(pairs)
+            assert {t for r in rows for t in r.traders} == {t for pair in pairs for t in pair[:2]}
+            first = min(rows, key=lambda r: (r.trader_id_1, r.trader_id_2))
+            assert (
+                first.trader_id_1, first.trader_id_2, first.match_count, round(first.avg_price_diff_pct, 6),
+            ) == min(pairs)
+
+
+def test_tally_adds_up_dense_and_sparse(monkeypatch):
+    for cells, held in ((4, 1 << 20), (4, 2), (1000, 1 << 20)):
+        monkeypatch.setattr(wash_pairs, "CELLS", held)
+        tally = wash_pairs._Tally(cells)
+        for _ in range(2):
+            tally.add(np.array([1, 1, 3]), None, np.array([0.5, 0.25, 1.0]))
+        cell, weight, diff = tally.reaching(3)
+        assert (cell.tolist(), weight.tolist(), diff.tolist()) == ([1], [4], [1.5])
+
+
+def test_entries_of_one_trader_are_joined():
+    def entry(name, side, at):
+        legs = [{"at": at, "price": 100.0, "size": 10.0, "copies": 1}]
+        return {"trader_id": name, "buy": legs if side == "buy" else [], "sell": legs if side == "sell" else []}
+
+    leg = pa.struct({"at": pa.int64(), "price": pa.float64(), "size": pa.float64(), "copies": pa.int64()})
+    members = pa.list_(pa.struct({"trader_id": pa.string(), "buy": pa.list_(leg), "sell": pa.list_(leg)}))
+    block = [entry("A", "buy", 0), entry("B", "sell", 1), entry("A", "buy", 2), entry("A", "sell", 3)]
+    row = {"start": 0, "symbol": "S", "low_lane": 1, "high_lane": 1, "low_traders": block, "high_traders": None}
+    kinds = {"low_traders": members, "high_traders": members}
+    batch = pa.RecordBatch.from_pydict({name: pa.array([value], kinds.get(name)) for name, value in row.items()})
+    (found,) = wash_pairs.pair_counter(300, 30, 0.005, 0.1, 0.2, 2)(iter([batch]))
+    assert [(r["trader_id_1"], r["trader_id_2"], r["match_count"]) for r in found.to_pylist()] == [("A", "B", 2)]
