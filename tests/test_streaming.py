@@ -477,3 +477,9 @@ def test_first_cycle_looks_back_some_hours_and_a_later_one_leaves_nothing_out(sp
     land_hours_ago(20, "between")
     detectors.run_available(order_cycle_writer(spark, lake, lookback_hours=1))
     assert sorted(r.order_id for r in current_orders(spark, lake).collect()) == ["between", "now", "within"]
+
+
+def test_wash_stream_keeps_legs_not_matches(spark, feed):
+    feed.add(*wash_burst())
+    plan = detectors.wash_stream(feed.stream())._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan and plan.count("Aggregate [") == 1
