@@ -8,7 +8,7 @@ from conftest import ORDER_DDL, START
 from pyspark.sql import functions as F
 
 from tradewatch.operators import wash_pairs
-from tradewatch.operators.wash import wash_alerts, wash_digest, wash_matches
+from tradewatch.operators.wash import wash_alerts, wash_digest, wash_first_pairs, wash_matches
 from tradewatch.params import WashParams
 
 # START lies in the tumbling window 21:30-21:35, which ends 60 seconds later.
@@ -238,6 +238,27 @@ def test_digest_counts_the_alerts_and_keeps_the_first_pair(spark, monkeypatch):
             ) == min(pairs)
 
 
+def test_first_pairs_are_found_without_the_others(spark, monkeypatch):
+    orders = spark.createDataFrame(random_orders(8, 300, symbols=2, traders=30), ORDER_DDL)
+    key = lambda r: (r.trader_id_1, r.trader_id_2, r.match_count, round(r.avg_price_diff_pct, 6))
+    for least in (1, 2, 3):
+        params = WashParams(min_match_count=least)
+        expected = defaultdict(list)
+        for r in alerts(orders, params):
+            expected[r.symbol, r.window_start].append(key(r))
+        for cells, few in ((5, 1), (wash_pairs.CELLS, 4)):
+            monkeypatch.setattr(wash_pairs, "CELLS", cells)
+            monkeypatch.setattr(wash_pairs, "FEW", few)
+            found = defaultdict(list)
+            for r in wash_first_pairs(orders, params, F.col("window_end")).collect():
+                found[r.symbol, r.window_start].append(key(r))
+            assert {place: min(rows) for place, rows in found.items()} == {
+                place: min(rows) for place, rows in expected.items()
+            }
+            # A row per two lanes at most.
+            assert max(len(rows) for rows in found.values()) <= 10
+
+
 def test_tally_adds_up_dense_and_sparse(monkeypatch):
     for cells, held in ((4, 1 << 20), (4, 2), (1000, 1 << 20)):
         monkeypatch.setattr(wash_pairs, "CELLS", held)
