@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tradewatch import schemas
 from tradewatch.operators import catalog
 from tradewatch.operators.alerts import conform
+from tradewatch.sources.lake import read_csv
 from tradewatch.streaming.catalog import rebuild_catalog, write_snapshots
 
 AT = datetime(2024, 1, 1, 10, 0, 0)
@@ -104,6 +105,16 @@ def test_rebuild_replaces_tables(bronze, spark, tmp_path):
     assert built["bronze.trades"].first().price == 1.5
 
 
+def test_snapshots_are_compressed_and_read_back_whole(spark, tmp_path):
+    rows = [(str(n), "", f"t{n % 3}", None, "AAPL", "buy", n / 7, n, "2024-01-01") for n in range(3000)]
+    legs = spark.createDataFrame(rows, schemas.LEG_CSV)
+    write_snapshots(str(tmp_path), trades=legs)
+    parts = list((tmp_path / "trades").glob("part-*"))
+    assert parts and all(part.name.endswith(".csv.gz") for part in parts)
+    found = read_csv(spark, str(tmp_path / "trades"), schemas.LEG_CSV)
+    assert found.exceptAll(legs.replace("", None, ["order_id"])).isEmpty() and found.count() == 3000
+
+
 def test_conform_adds_missing_columns(spark):
     df = conform(spark.createDataFrame([("SPOOFING",)], "alert_type string"))
     assert df.schema.fieldNames() == schemas.ALERT.fieldNames()
