@@ -282,3 +282,28 @@ def test_entries_of_one_trader_are_joined():
     batch = pa.RecordBatch.from_pydict({name: pa.array([value], kinds.get(name)) for name, value in row.items()})
     (found,) = wash_pairs.pair_counter(300, 30, 0.005, 0.1, 0.2, 2)(iter([batch]))
     assert [(r["trader_id_1"], r["trader_id_2"], r["match_count"]) for r in found.to_pylist()] == [("A", "B", 2)]
+
+
+def test_legs_joined_one_by_one_give_the_same_alerts_and_only_those_are_shuffled(make_orders):
+    draw = random.Random(7)
+    events = [
+        leg(
+            f"t{draw.randrange(12):02}", draw.choice(("buy", "sell")), draw.randrange(600),
+            price=draw.choice((100.0, 100.4)), quantity=draw.choice((100, 105)),
+            symbol=draw.choice(("AAPL", "MSFT")),
+        )
+        for _ in range(500)
+    ]
+    orders = make_orders(*events)
+    joined = wash_alerts(orders, WashParams(), F.col("window_end"), fold_copies=False)
+
+    def key(rows):
+        return {tuple(v if not isinstance(v, float) else round(v, 9) for v in row) for row in rows}
+
+    found = alerts(orders)
+    assert len(found) > 20 and len(joined.collect()) == len(found)
+    assert key(joined.collect()) == key(found)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    # The plan reads from its end: pairs are counted and chosen in the task of the join, then dealt out.
+    places = [text.rindex(part) for part in ("REBALANCE_PARTITIONS_BY_COL", ">= 3)", "Join")]
+    assert places == sorted(places)
