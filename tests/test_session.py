@@ -1,6 +1,6 @@
 import pytest
 
-from tradewatch.session import RUNTIME_CONF, prepare, working_folder
+from tradewatch.session import RUNTIME_CONF, prepare, use_rocksdb_state, working_folder
 
 
 class Settings:
@@ -33,3 +33,17 @@ def test_local_session_falls_back_to_one_temporary_folder():
 def test_prepare_sets_the_runtime_settings(spark):
     prepare(spark)
     assert {k: spark.conf.get(k) for k in RUNTIME_CONF} == RUNTIME_CONF
+
+
+def test_stores_of_a_process_share_bounded_memory(spark):
+    rocksdb = "spark.sql.streaming.stateStore.rocksdb."
+    names = ("spark.sql.streaming.stateStore.providerClass", f"{rocksdb}changelogCheckpointing.enabled")
+    bound = (f"{rocksdb}boundedMemoryUsage", f"{rocksdb}maxMemoryUsageMB")
+    before = {name: spark.conf.get(name, None) for name in names + bound}
+    try:
+        use_rocksdb_state(spark)
+        assert spark.conf.get(names[0]).endswith("RocksDBStateStoreProvider") and spark.conf.get(names[1]) == "true"
+        assert spark.conf.get(bound[0]) == "true" and int(spark.conf.get(bound[1])) <= 500
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
