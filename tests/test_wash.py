@@ -7,7 +7,7 @@ import pyarrow as pa
 from conftest import ORDER_DDL, START
 from pyspark.sql import functions as F
 
-from tradewatch.operators import wash_pairs
+from tradewatch.operators import wash, wash_pairs
 from tradewatch.operators.wash import wash_alerts, wash_digest, wash_first_pairs, wash_matches
 from tradewatch.params import WashParams
 
@@ -304,6 +304,8 @@ def test_legs_joined_one_by_one_give_the_same_alerts_and_only_those_are_shuffled
     assert len(found) > 20 and len(joined.collect()) == len(found)
     assert key(joined.collect()) == key(found)
     text = joined._jdf.queryExecution().executedPlan().toString()
+    # Many small tasks, so that the counts of one stay in memory.
+    assert text.count(f", {wash.JOIN_TASKS * 4}), REPARTITION_BY_NUM") >= 2 and wash.JOIN_TASKS >= 8
     # The plan reads from its end: pairs are counted and chosen in the task of the join, then dealt out.
     places = [text.rindex(part) for part in ("REBALANCE_PARTITIONS_BY_COL", ">= 3)", "Join")]
     assert places == sorted(places)
